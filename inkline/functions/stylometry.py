@@ -266,11 +266,7 @@ def _listed_counts(df: DataFrame) -> DataFrame:
 
 
 def _listed(tokens: str, words: tuple[str, ...]) -> Column:
-    bag = c(f"{tokens}_bag")
-    total = F.get(bag, LISTED.index(words[0]))
-    for word in words[1:]:
-        total = total + F.get(bag, LISTED.index(word))
-    return total.cast("int")
+    return F.expr("cast(" + " + ".join(f"{tokens}_bag[{LISTED.index(w)}]" for w in words) + " as int)")
 
 
 def lexicon_shares() -> dict[str, Column]:

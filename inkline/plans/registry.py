@@ -35,10 +35,10 @@ def tidy(df: DataFrame, digits: int = 6) -> DataFrame:
     out = []
     for f in df.schema.fields:
         kind = f.dataType.typeName()
-        col = F.col(f"`{f.name}`")
         if kind in ("integer", "short", "byte"):
-            col = col.cast("long")
+            out.append(f"cast(`{f.name}` as bigint) as `{f.name}`")
         elif kind in ("double", "float") or kind.startswith("decimal"):
-            col = r6(col, digits)
-        out.append(col.alias(f.name))
-    return df.select(*out)
+            out.append(f"round(cast(`{f.name}` as double), {digits}) + 0D as `{f.name}`")
+        else:
+            out.append(f"`{f.name}`")
+    return df.selectExpr(*out)
