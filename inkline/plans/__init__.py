@@ -1,6 +1,6 @@
 """Registered queries, each next to the SQL that checks it."""
 
-from . import features_q, scores_q, text_q  # noqa: F401
+from . import features_q, scores_q, select_q, text_q  # noqa: F401
 from .registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
