@@ -30,14 +30,13 @@ def mtld_factors(words, threshold: float) -> float:
 def mtld_of(words, threshold: float = 0.72) -> float:
     if len(words) < 50:
         return float(len(set(words)))
-    words = list(words)
     return (mtld_factors(words, threshold) + mtld_factors(words[::-1], threshold)) / 2.0
 
 
 @F.pandas_udf(DoubleType())
-def mtld(words: pd.Series) -> pd.Series:
-    """Lexical diversity of an array of lower-cased tokens."""
-    return words.map(mtld_of)
+def mtld(joined: pd.Series) -> pd.Series:
+    """Lexical diversity of lower-cased tokens, given as one blank-joined string."""
+    return joined.map(lambda s: mtld_of(s.split()))
 
 
 def deflate_share(text: str) -> float:
@@ -76,5 +75,6 @@ def cohesion_of(words, window: int = 10) -> float:
 
 
 @F.pandas_udf(DoubleType())
-def lexical_cohesion(words: pd.Series) -> pd.Series:
-    return words.map(cohesion_of)
+def lexical_cohesion(joined: pd.Series) -> pd.Series:
+    """Window overlap of the tokens of one blank-joined string."""
+    return joined.map(lambda s: cohesion_of(s.split()))

@@ -192,7 +192,7 @@ def readability() -> dict[str, Column]:
     zero = F.lit(0.0)
     return {
         "avg_syllables_per_word": F.coalesce(syl / w, zero),
-        "flesch_reading_ease": F.coalesce(F.greatest(F.lit(0.0), F.least(F.lit(100.0), ease)), zero),
+        "flesch_reading_ease": F.when(ease.isNull(), zero).otherwise(F.greatest(zero, F.least(F.lit(100.0), ease))),
         "flesch_reading_ease_raw": F.coalesce(ease, zero),
         "flesch_kincaid_grade": F.coalesce(0.39 * (w / s) + 11.8 * (syl / w) - 15.59, zero),
         "gunning_fog": _fog(w, s, poly),
@@ -550,9 +550,9 @@ def vector_56(df: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
     feats = catalogue_56(text)
     prepared = prepare(raw, text)
     arrow = {
-        "mtld": sequential.mtld(c("lwords")),
+        "mtld": sequential.mtld(c("ljoin")),
         "compression_ratio": sequential.compression_ratio(c(text)),
-        "lexical_cohesion": sequential.lexical_cohesion(c("words")),
+        "lexical_cohesion": sequential.lexical_cohesion(c("wjoin")),
     }
     out = prepared.select(*keep, *[col.alias(k) for k, col in {**feats, **arrow}.items()])
     return out.select(*keep, *[F.coalesce(c(k).cast("double"), F.lit(0.0)).alias(k) for k in NAMES_56])

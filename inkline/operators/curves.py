@@ -82,6 +82,7 @@ def equal_width_histogram(df: DataFrame, value: str, bins: int, by: list[str] |
     base = base.select(*keys, F.col(value).cast("double").alias("_v")).groupBy(*keys, "_v").agg(F.count("*").alias("_n"))
     span = base.groupBy(*keys).agg(F.min("_v").alias("lo"), F.max("_v").alias("hi"))
     width = F.nullif(F.col("hi") - F.col("lo"), F.lit(0.0))
-    b = F.coalesce(F.least(F.floor((F.col("_v") - F.col("lo")) / width * bins), F.lit(bins - 1)), F.lit(0)).cast("int")
+    place = F.least(F.floor((F.col("_v") - F.col("lo")) / width * bins), F.lit(bins - 1))
+    b = F.when(width.isNull(), 0).otherwise(place).cast("int")
     out = base.join(span, keys).groupBy(*keys, b.alias("bin")).agg(F.sum("_n").alias("n"))
     return out if by else out.drop("_all")

@@ -360,7 +360,7 @@ co AS (SELECT t.doc_id, avg(len(list_intersect(t.words[i:i+4], t.words[i+5:i+9])
 
 @query("feat_cohesion", plain_sql({"lexical_cohesion": r("coalesce(co.m, 0)")}, COHESION_CTE, left("co")))
 def feat_cohesion(spark, sf):
-    cohesion = sequential.lexical_cohesion(tx.word_tokens(F.col("text")))
+    cohesion = sequential.lexical_cohesion(tx.joined(tx.word_tokens(F.col("text"))))
     return docs(spark, sf).select("doc_id", r6(cohesion).alias("lexical_cohesion"))
 
 
@@ -378,7 +378,7 @@ def feat_sentiment(spark, sf):
 # --- Arrow-backed columns, wide catalogues --------------------------------------
 @query("feat_mtld")
 def feat_mtld(spark, sf):
-    words = F.transform(tx.word_tokens(F.col("text")), F.lower)
+    words = F.lower(tx.joined(tx.word_tokens(F.col("text"))))
     return docs(spark, sf).select("doc_id", r6(sequential.mtld(words)).alias("mtld"))
 
 

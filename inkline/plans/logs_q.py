@@ -35,7 +35,7 @@ def label_by_split(spark, sf):
 
 
 def hist(value: str, bins: int) -> str:
-    return (f"SELECT '{value}' AS measure, label::bigint AS label, least(floor((v - lo) / nullif(hi - lo, 0) * {bins}), {bins - 1})::bigint AS bin, count(*) AS n "
+    return (f"SELECT '{value}' AS measure, label::bigint AS label, (CASE WHEN hi = lo THEN 0 ELSE least(floor((v - lo) / (hi - lo) * {bins}), {bins - 1}) END)::bigint AS bin, count(*) AS n "
             f"FROM (SELECT label, {value}::double AS v, min({value}::double) OVER (PARTITION BY label) AS lo, "
             f"max({value}::double) OVER (PARTITION BY label) AS hi FROM lens) GROUP BY ALL")
 

@@ -141,7 +141,7 @@ def hist_sql(source: str, value: str, bins: int, by: str) -> str:
       max({value}::double) OVER (PARTITION BY {by}) AS hi FROM {source})""".replace("WITHSPAN", "span")
 
 
-BIN_SQL = "coalesce(least(floor((v - lo) / nullif(hi - lo, 0) * {n}), {m}), 0)::bigint"
+BIN_SQL = "(CASE WHEN hi = lo THEN 0 ELSE least(floor((v - lo) / (hi - lo) * {n}), {m}) END)::bigint"
 
 
 @query("confidence_hist", with_scores(
