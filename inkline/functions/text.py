@@ -11,11 +11,11 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-WORD = r"[\p{L}\p{N}_]+"
-WORD_APOS = r"[\p{L}\p{N}_]+(?:'[\p{L}\p{N}_]+)?"
+WORD = r"[a-zA-Z0-9_\p{L}\p{N}]+"
+WORD_APOS = r"[a-zA-Z0-9_\p{L}\p{N}]+(?:'[a-zA-Z0-9_\p{L}\p{N}]+)?"
 ALPHA_APOS = r"^[A-Za-z]+(?:'[A-Za-z]+)?$"
 LETTERS_ONLY = r"^\p{L}+$"
-TERM = r"[\p{L}\p{N}_]{2,}"
+TERM = r"[a-z0-9_\p{L}\p{N}]{2,}"
 SPACE = r"[\t-\r\x1c-\x20\x85\p{Z}]"
 SENTENCE_END = r"[.!?]+"
 SENTENCE_KEEP = r"[^.!?]+[.!?]*"

@@ -28,9 +28,12 @@ def weight_search(df: DataFrame, label: str, p1: str, p2: str, grid: tuple[float
     Confusion counts are first taken per distinct pattern of the grid's votes,
     so rows are neither multiplied by the grid nor shuffled.
     """
-    votes = [F.when(blend(F.col(p1), F.col(p2), F.lit(w)) >= 0.5, 1).otherwise(0) for w in grid]
-    pattern = df.groupBy(F.col(label).alias("label"), F.array(*votes).alias("votes")).agg(F.count("*").alias("n"))
-    long = pattern.select("label", "n", F.posexplode("votes").alias("i", "pred"))
+    mask = F.lit(0).cast("long")
+    for i, w in enumerate(grid):
+        mask = mask + F.when(blend(F.col(p1), F.col(p2), F.lit(w)) >= 0.5, F.lit(2**i)).otherwise(0)
+    pattern = df.select(F.col(label).alias("label"), mask.alias("m")).groupBy("label", "m").agg(F.count("*").alias("n"))
+    votes = F.transform(F.sequence(F.lit(0), F.lit(len(grid) - 1)), lambda i: F.floor(F.col("m") / F.pow(F.lit(2), i)).cast("long") % 2)
+    long = pattern.select("label", "n", F.posexplode(votes).alias("i", "pred"))
 
     def cell(y, p):
         return F.sum(F.when((F.col("label") == y) & (F.col("pred") == p), F.col("n")).otherwise(0))

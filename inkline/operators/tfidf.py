@@ -37,15 +37,16 @@ BAYES_10000 = Vectoriser(max_features=10000, bigrams=True, stopwords=lx.ENGLISH_
 HYBRID_10000 = Vectoriser(max_features=10000, bigrams=True, min_df=2, max_df=0.95, sublinear=True)
 
 
-def term_frequencies(df: DataFrame, id_col: str, text: str, v: Vectoriser = Vectoriser()) -> DataFrame:
-    """``(id, term, tf)``; bigrams are taken after stop words are dropped."""
-    out = df.select(id_col, tx.term_tokens(F.col(text), v.stopwords).alias("_t"))
+def term_frequencies(df: DataFrame, id_col: str, text: str, v: Vectoriser = Vectoriser(), carry: tuple[str, ...] = ()) -> DataFrame:
+    """``(id, carried columns, term, tf)``; bigrams are taken after stop words are dropped."""
+    keep = [id_col, *carry]
+    out = df.select(*keep, tx.term_tokens(F.col(text), v.stopwords).alias("_t"))
     if v.bigrams:
-        out = out.select(id_col, F.concat("_t", tx.word_ngrams(tx.joined(F.col("_t")), 2)).alias("_t"))
-    out = out.select(id_col, F.sort_array("_t").alias("_s"))
-    out = out.select(id_col, "_s", counts.run_ends(F.col("_s")).alias("_e"))
-    out = out.select(id_col, F.explode(counts.term_counts(F.col("_s"), F.col("_e"), counts.run_lengths(F.col("_e")))).alias("x"))
-    return out.select(id_col, "x.term", "x.tf")
+        out = out.select(*keep, F.concat("_t", tx.word_ngrams(tx.joined(F.col("_t")), 2)).alias("_t"))
+    out = out.select(*keep, F.sort_array("_t").alias("_s"))
+    out = out.select(*keep, "_s", counts.run_ends(F.col("_s")).alias("_e"))
+    out = out.select(*keep, F.explode(counts.term_counts(F.col("_s"), F.col("_e"), counts.run_lengths(F.col("_e")))).alias("x"))
+    return out.select(*keep, "x.term", "x.tf")
 
 
 def fit_vocabulary(terms: DataFrame, n_docs: int, v: Vectoriser = Vectoriser()) -> DataFrame:

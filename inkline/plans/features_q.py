@@ -396,7 +396,59 @@ def prefix(p: str, feats: dict) -> dict:
     return {f"{p}_{k}": v for k, v in feats.items()}
 
 
-@query("features_wide", None)
+WIDE_CTE = (REP_CTE.replace("," + freq_cte("t3", grams("lwords", 3)), "") + "," + freq_cte("cf", "string_split(flat, '')") + WLEN_CTE + SYL_CTE + f""",
+kl AS (SELECT doc_id, avg(k) AS km, stddev_pop(k) AS ksd, avg(g) AS gm, stddev_pop(g) AS gsd FROM (
+  SELECT doc_id, len({alpha_sql('s')}) AS k, len(regexp_extract_all(s, '{tx.WORD}')) AS g FROM (SELECT doc_id, unnest(ksents) AS s FROM toks))
+  GROUP BY doc_id),
+ll AS (SELECT doc_id, avg(k) AS m, sum(CASE WHEN k >= 7 THEN 1 ELSE 0 END) AS lo, sum(CASE WHEN k <= 3 THEN 1 ELSE 0 END) AS sh FROM (
+  SELECT doc_id, length(unnest(alpha)) AS k FROM toks) GROUP BY doc_id)""")
+WIDE_JOINS = left("a", "a3", "l", "cf", "al", "sa", "sy", "kl", "ll")
+
+
+def class_ratio(text: str, cls: str) -> str:
+    return r(ratio_sql(count_class_sql(text, cls), f"length({text})"))
+
+
+SQL_45 = {
+    "char_count": big("length(flat)"), "word_count": SQL_BASIC["word_count_alpha"], "sentence_count": SQL_BASIC["sentence_count_terminated"],
+    "avg_word_length": r("coalesce(al.m, 0)"), "avg_sentence_length": r("coalesce(kl.km, 0)"), "sentence_length_std": r("coalesce(kl.ksd, 0)"),
+    "unique_words": big("coalesce(a.v, 0)"), "type_token_ratio": r("coalesce(a.v / a.n, 0)"), "hapax_ratio": r("coalesce(a.hapax / a.n, 0)"),
+    **{k: SQL_PUNCT[k] for k in ("comma_count", "period_count", "question_count", "exclamation_count", "semicolon_count", "colon_count",
+                                 "quote_count", "punctuation_density", "punctuation_count")},
+    "uppercase_ratio": class_ratio("flat", tx.UPPER), "digit_ratio": class_ratio("flat", tx.DIGIT), "whitespace_ratio": class_ratio("flat", tx.SPACE),
+    **{k: SQL_LEXICONS[k] for k in ("stopword_ratio", "pronoun_ratio", "conjunction_ratio", "transition_ratio", "modal_ratio", "passive_ratio",
+                                    "first_person_pronoun_count")},
+    "long_word_ratio": SQL_WORDLEN["long_word_ratio"], "short_word_ratio": SQL_WORDLEN["short_word_ratio"],
+    "word_length_variance": SQL_WORDLEN["word_length_variance"], "repeated_word_ratio": SQL_REPETITION["repeated_word_ratio"],
+    "yules_k": SQL_LEXICAL["yules_k"], "char_entropy": SQL_ENTROPY["char_entropy_bits"], "word_entropy": SQL_ENTROPY["word_entropy_bits"],
+    "passive_voice_rate": SQL_PASSIVE["passive_sentence_rate"], "gunning_fog": SQL_READABILITY["gunning_fog_ascii"],
+    "contraction_count": SQL_PHRASES["contraction_count"],
+    **{k: SQL_SUFFIX[k] for k in ("adverb_count", "complex_verb_count", "abstract_noun_count", "sophisticated_adjective_count")},
+    "trigram_uniqueness": SQL_REPETITION["trigram_uniqueness"], "syntax_variety": SQL_SYNTAX["syntax_variety"],
+}
+LONG_STOPS = in_count(LALPHA, lx.ENGLISH_STOPWORDS)
+CPUNCT = count_class_sql("clean", tx.ASCII_PUNCT)
+SQL_40 = {
+    "char_count": big("length(clean)"), "char_count_no_spaces": SQL_BASIC["char_count_no_spaces"], "word_count": big("len(words)"),
+    "sentence_count": big("len(ksents)"), "alpha_word_count": big("len(alpha)"), "avg_word_length": r("coalesce(ll.m, 0)"),
+    "avg_sentence_length": r("coalesce(kl.gm, 0)"), "std_sentence_length": r("coalesce(kl.gsd, 0)"), "unique_words": big("coalesce(l.v, 0)"),
+    "type_token_ratio": r("coalesce(l.v / l.n, 0)"), "stopword_count": big(LONG_STOPS), "stopword_ratio": r(ratio_sql(LONG_STOPS, "len(alpha)")),
+    "uppercase_chars": big(count_class_sql("clean", tx.UPPER)), "uppercase_ratio": class_ratio("clean", tx.UPPER),
+    "digit_count": big(count_class_sql("clean", tx.DIGIT)), "digit_ratio": class_ratio("clean", tx.DIGIT),
+    "punctuation_count": big(CPUNCT), "punctuation_ratio": r(ratio_sql(CPUNCT, "length(clean)")),
+    **{k: big(count_sql("clean", p)) for k, p in (("comma_count", ","), ("period_count", "."), ("semicolon_count", ";"), ("colon_count", ":"),
+                                                  ("exclamation_count", "!"), ("question_count", "?"), ("hyphen_count", "-"))},
+    "quote_count": big(counts_sql("clean", ('"', "'"))), "parenthesis_count": big(counts_sql("clean", ("(", ")"))),
+    "newline_count": SQL_STRUCTURE["newline_count"], "long_word_count": big("coalesce(ll.lo, 0)"), "short_word_count": big("coalesce(ll.sh, 0)"),
+    "long_word_ratio": r(ratio_sql("ll.lo", "len(alpha)")), "short_word_ratio": r(ratio_sql("ll.sh", "len(alpha)")),
+    "avg_chars_per_sentence": r(ratio_sql("length(clean)", "len(ksents)")), "flesch_reading_ease": r(f"coalesce({EASE.replace(S, SA)}, 0)"),
+    "flesch_kincaid_grade": r(kincaid(W, SA)), "gunning_fog": r(fog(W, SA, "sy.poly")), "smog_index": r(smog(SA)),
+    "repeated_words": SQL_REPETITION["repeated_words"], "repeated_word_ratio": SQL_REPETITION["repeated_word_type_ratio"],
+    "avg_punct_per_sentence": r(ratio_sql(CPUNCT, "len(ksents)")),
+}
+
+
+@query("features_wide", plain_sql({**prefix("v45", SQL_45), **prefix("v40", SQL_40)}, WIDE_CTE, WIDE_JOINS))
 def features_wide(spark, sf):
     feats = {**prefix("v45", st.catalogue_45()), **prefix("v40", st.catalogue_40())}
     return family(spark, sf, feats)

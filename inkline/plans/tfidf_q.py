@@ -6,10 +6,11 @@ from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..operators import naive_bayes as nb, split, tfidf as tf
+from ..session import cut
 from ..sources.tables import load, spread
 from .registry import query, tidy
 from .sqltext import big, r, words_list
-from .text_q import LABELLED, labelled, text_docs
+from .text_q import LABELLED, documents, labelled, text_docs
 
 
 def terms_sql(name: str, source: str, v: tf.Vectoriser) -> str:
@@ -107,18 +108,21 @@ prior AS (SELECT ln(count(*) FILTER (label = 0) / count(*)::double) AS b0, ln(co
 
 
 def nb_parts(spark, sf):
-    train, test = train_test(spark, sf)
-    terms = tf.term_frequencies(train, "doc_id", "text", V)
-    vocab = tf.fit_vocabulary(terms, train.count(), V)
-    weights = tf.weigh(terms, vocab, "doc_id", V)
-    labels = train.select("doc_id", "label")
-    model = nb.fit(weights, labels, vocab, "doc_id", [0, 1])
-    return test, vocab, labels, model
+    """Split, term table (written once, read by vocabulary, weights and scoring), vocabulary and model."""
+    labels = load(spark, sf, "labels").select("doc_id", F.col("quality").alias("label"))
+    parts = cut(split.stratified(labels.join(documents(spark, sf).select("doc_id"), "doc_id"), "doc_id", "label"))
+    docs = spread(documents(spark, sf).select("doc_id", "text").join(parts.select("doc_id", "split"), "doc_id"), "doc_id")
+    terms = cut(tf.term_frequencies(docs, "doc_id", "text", V, ("split",)))
+    train_terms, test_terms = (terms.filter(F.col("split") == k).drop("split") for k in ("train", "test"))
+    train, test = (parts.filter(F.col("split") == k).select("doc_id", "label") for k in ("train", "test"))
+    vocab = cut(tf.fit_vocabulary(train_terms, train.count(), V))
+    model = nb.fit(tf.weigh(train_terms, vocab, "doc_id", V), train, vocab, "doc_id", [0, 1])
+    return train, test, test_terms, vocab, model
 
 
 @query("naive_bayes_fit", f"WITH {NB_SQL} SELECT term, {r('theta_0')} AS theta_0, {r('theta_1')} AS theta_1 FROM model")
 def naive_bayes_fit(spark, sf):
-    model = nb_parts(spark, sf)[3]
+    model = nb_parts(spark, sf)[4]
     return tidy(model.select("term", F.col("theta")[0].alias("theta_0"), F.col("theta")[1].alias("theta_1")))
 
 
@@ -129,8 +133,8 @@ p AS (SELECT doc_id, exp(j0 - greatest(j0, j1)) AS e0, exp(j1 - greatest(j0, j1)
 SELECT doc_id, (CASE WHEN e1 > e0 THEN 1 ELSE 0 END)::bigint AS pred, CASE WHEN e1 > e0 THEN 'AI Generated' ELSE 'Human Written' END AS class_name,
 {r('greatest(e0, e1) / (e0 + e1)', 5)} AS confidence, {r('e0 / (e0 + e1)', 5)} AS p_0, {r('e1 / (e0 + e1)', 5)} AS p_1 FROM p""")
 def naive_bayes_score(spark, sf):
-    test, vocab, labels, model = nb_parts(spark, sf)
-    weights = tf.weigh(tf.term_frequencies(test, "doc_id", "text", V), vocab, "doc_id", V)
-    out = nb.score(test, weights, model, nb.priors(labels, [0, 1]), "doc_id", [0, 1], V.max_features)
+    train, test, test_terms, vocab, model = nb_parts(spark, sf)
+    weights = tf.weigh(test_terms, vocab, "doc_id", V)
+    out = nb.score(test, weights, model, nb.priors(train, [0, 1]), "doc_id", [0, 1], V.max_features)
     name = F.when(F.col("pred") == 1, "AI Generated").otherwise("Human Written")
     return tidy(out.withColumn("class_name", name), 5)
