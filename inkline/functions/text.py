@@ -23,7 +23,7 @@ CLAUSE_END = r"[,;:]"
 ASCII_PUNCT = r"[!-/:-@\[-`{-~]"
 UPPER = r"\p{Lu}"
 DIGIT = r"[\p{Nd}\x{b2}\x{b3}\x{b9}\x{2070}\x{2074}-\x{2079}\x{2080}-\x{2089}]"
-SPECIAL = r"[^\p{L}\p{N}\t-\r\x1c-\x20\x85\p{Z}]"
+SPECIAL = r"[^a-zA-Z0-9 \p{L}\p{N}\t-\r\x1c-\x1f\x85\p{Z}]"
 
 
 def extract_all(text: Column, pattern: str) -> Column:
