@@ -102,10 +102,10 @@ def ema_smooth(spark, sf):
 
 
 @query("asof_loss_gap", f"""WITH {EMA_SQL}, {EVAL_SQL} SELECT ev.step, em.step AS step_matched, {r('eval_loss')} AS eval_loss,
-{r('ema')} AS train_loss, {r('eval_loss - ema')} AS gap FROM ev ASOF LEFT JOIN em ON ev.step >= em.step""")
+{r('ema')} AS train_loss, {r('eval_loss - ema')} AS gap FROM ev ASOF JOIN em ON ev.step >= em.step""")
 def asof_loss_gap(spark, sf):
     smooth = logs.ema_smooth(train_log(spark, sf), "step", "loss", 20).select("step", F.col("ema").alias("train_loss"))
-    joined = logs.asof_join(eval_log(spark, sf).select("step", "eval_loss"), smooth, "step")
+    joined = logs.asof_join(eval_log(spark, sf).select("step", "eval_loss"), smooth, "step").filter("step_matched is not null")
     return tidy(joined.withColumn("gap", F.col("eval_loss") - F.col("train_loss")))
 
 

@@ -27,7 +27,7 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     the same.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    files = len(df.inputFiles())
+    files = len(df._jdf.inputFiles())  # the length only: the paths of a large table stay in the JVM
     return df if files >= 2 * cores else df.repartition(4 * cores, key)
 
 

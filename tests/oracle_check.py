@@ -10,6 +10,7 @@ import sys
 import time
 
 import duckdb
+import pandas as pd
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -47,7 +48,7 @@ def canon(pdf):
 
 
 def repr_value(v):
-    if v is None or v != v:
+    if v is None or v is pd.NA or v != v:
         return "NULL"
     if hasattr(v, "item"):
         v = v.item()
