@@ -74,7 +74,7 @@ def tertile_cuts(df: DataFrame, columns: list[str]) -> dict[str, tuple[float, fl
     """Exact lower and upper tertile of each column: the smallest values that cover 1/3 and 2/3 of the rows."""
     freq = df.select(*[F.col(n).cast("double").alias(n) for n in columns]).unpivot([], columns, "k", "v")
     freq = freq.filter(F.col("v").isNotNull()).groupBy("k", "v").agg(F.count("*").alias("n"))
-    cum = running_totals(freq, "v", ["n"], ["k"])
+    cum = running_totals(freq, "v", ["n"], ["k"], few_keys=True)
 
     def cover(part):
         return F.min(F.when(F.col("cum_n") * 3 >= F.col("all_n") * part, F.col("v")))

@@ -15,11 +15,14 @@ from .ranking import running_totals
 
 
 def threshold_table(df: DataFrame, label: str = "label", p: str = "p", by: list[str] | None = None) -> DataFrame:
-    """Per distinct score, descending: cumulative true and false positives and the class totals."""
+    """Per distinct score, descending: cumulative true and false positives and the class totals.
+
+    ``by`` names a few series (models, classes, folds).
+    """
     keys = list(by or [])
     ties = df.groupBy(*keys, F.col(p).alias("threshold")).agg(
         F.sum(F.col(label).cast("long")).alias("pos"), F.sum(1 - F.col(label).cast("long")).alias("neg"))
-    cum = running_totals(ties, "threshold", ["pos", "neg"], keys, descending=True)
+    cum = running_totals(ties, "threshold", ["pos", "neg"], keys, descending=True, few_keys=True)
     return cum.select(*keys, "threshold", "pos", "neg", F.col("cum_pos").alias("tp"), F.col("cum_neg").alias("fp"),
                       F.col("all_pos").alias("P"), F.col("all_neg").alias("N"))
 
@@ -84,5 +87,5 @@ def equal_width_histogram(df: DataFrame, value: str, bins: int, by: list[str] |
     width = F.nullif(F.col("hi") - F.col("lo"), F.lit(0.0))
     place = F.least(F.floor((F.col("_v") - F.col("lo")) / width * bins), F.lit(bins - 1))
     b = F.when(width.isNull(), 0).otherwise(place).cast("int")
-    out = base.join(span, keys).groupBy(*keys, b.alias("bin")).agg(F.sum("_n").alias("n"))
+    out = base.join(span if by else F.broadcast(span), keys).groupBy(*keys, b.alias("bin")).agg(F.sum("_n").alias("n"))
     return out if by else out.drop("_all")

@@ -36,7 +36,7 @@ def hash_rank(df: DataFrame, id_col: str, keys: list[str] | None = None, rank: s
     for k in by:
         match = match & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
     inside = F.row_number().over(W.partitionBy(*by, "_b").orderBy("_h", id_col))
-    ranked = h.withColumn("_in", inside).join(offsets, match, "left")
+    ranked = h.withColumn("_in", inside).join(offsets if by else F.broadcast(offsets), match, "left")
     out = [*df.columns, (F.col("_before") + F.col("_in")).alias(rank)]
     if total:
         out.append(F.col("_total").alias(total))
@@ -45,23 +45,26 @@ def hash_rank(df: DataFrame, id_col: str, keys: list[str] | None = None, rank: s
 
 def running_totals(
     df: DataFrame, order: str, sums: list[str], keys: list[str] | None = None, descending: bool = False,
-    next_value: str | None = None,
+    next_value: str | None = None, few_keys: bool = False,
 ) -> DataFrame:
     """Running sums ``cum_<x>`` and key totals ``all_<x>`` in the order of a numeric column.
 
     Rows must be distinct in ``(keys, order)``. Bucket bounds are approximate
     quantiles of the data, so buckets stay even whatever the distribution; the
     sums are exact for any bounds. ``next_value`` names an extra column with
-    the following value of ``order``.
+    the following value of ``order``. Without keys, or with keys the caller knows
+    to be few (features, classes, models), the cut points and offsets are a
+    bounded table and are broadcast; otherwise the optimiser sizes them.
     """
     spark = df.sparkSession
     buckets = max(2, min(256, int(spark.conf.get("spark.sql.shuffle.partitions", "200"))))
     by = list(keys or ["_all"])
+    hint = F.broadcast if few_keys or not keys else (lambda x: x)
     base = df if keys else df.withColumn("_all", F.lit(0))
     cuts = [i / buckets for i in range(1, buckets)]
     # one row per key with a bounded array of cut points
     bounds = base.groupBy(*by).agg(F.percentile_approx(order, cuts, 1000).alias("_cuts"))
-    cut = base.join(bounds, by).withColumn(
+    cut = base.join(hint(bounds), by).withColumn(
         "_b", F.size(F.filter("_cuts", lambda x: x < F.col(order)))).drop("_cuts")
     sign = F.col(order).desc() if descending else F.col(order).asc()
     bucket_order = F.col("_b").desc() if descending else F.col("_b").asc()
@@ -84,4 +87,4 @@ def running_totals(
         out += [(F.col(f"_c_{x}") + F.col(f"_o_{x}")).alias(f"cum_{x}"), F.col(f"all_{x}")]
     if next_value:
         out.append(F.coalesce("_lead", "_next").alias(next_value))
-    return local.join(offsets, [*by, "_b"]).select(*out)
+    return local.join(hint(offsets), [*by, "_b"]).select(*out)

@@ -155,7 +155,7 @@ def split_candidates(df: DataFrame, numeric: list[str], categorical: list[str],
     if numeric:
         wide = df.select(*by, F.col(label).alias("label"), *[F.col(f).cast("double").alias(f) for f in numeric])
         long = wide.unpivot([*by, "label"], numeric, "feature", "v").filter(F.col("v").isNotNull()).withColumn("w", F.lit(1.0))
-        table = running_totals(class_columns(long, [*keys, "v"], classes), "v", cs, keys, next_value="nxt")
+        table = running_totals(class_columns(long, [*keys, "v"], classes), "v", cs, keys, next_value="nxt", few_keys=not by)
         left = [F.col(f"cum_{c}") for c in cs]
         right = [F.col(f"all_{c}") - F.col(f"cum_{c}") for c in cs]
         out = table.filter(F.col("nxt").isNotNull()).select(
@@ -207,7 +207,7 @@ def binned_mutual_information(df: DataFrame, features: list[str], label: str = "
     """
     wide = df.select(F.col(label).alias("label"), *[F.col(f).cast("double").alias(f) for f in features])
     cells = wide.unpivot(["label"], features, "feature", "v").groupBy("feature", "v", "label").agg(F.count("*").alias("w"))
-    values = running_totals(cells.groupBy("feature", "v").agg(F.sum("w").alias("n")), "v", ["n"], ["feature"])
+    values = running_totals(cells.groupBy("feature", "v").agg(F.sum("w").alias("n")), "v", ["n"], ["feature"], few_keys=True)
     b = F.least(F.floor((F.col("cum_n") - F.col("n")) * bins / F.col("all_n")), F.lit(bins - 1)).cast("int")
     joint = cells.join(values.select("feature", "v", b.alias("bin")), ["feature", "v"])
     joint = joint.groupBy("feature", "bin", "label").agg(F.sum("w").alias("nxy"))
