@@ -15,7 +15,9 @@ each other, on blocks of a bucket, and only pairs that pass the estimate leave
 the join.
 
 Bands of 4 minima, 24 times, miss a pair at similarity 0.75 with probability
-1.1e-4; an estimate 4 standard deviations below the threshold adds 3e-5.
+1.1e-4; an estimate 4 standard deviations below the threshold adds 3e-5. The
+signature is longer than the bands need, so that the estimate tells the many
+pairs of a large group that are nearly similar from those that are.
 """
 
 from __future__ import annotations
@@ -34,7 +36,7 @@ from .graph import components
 
 SHINGLE, PERCENT = 5, 75
 ROWS, BANDS = 4, 24
-HASHES = ROWS * BANDS
+HASHES = 384  # the first ROWS x BANDS of them make the bands
 BITS, FIELDS = 2, 32  # fields of BITS bits to a long
 PACKS = HASHES // FIELDS
 DEVIATIONS = 4.0
@@ -44,7 +46,8 @@ LOW_BITS = 0x5555555555555555
 _rng = np.random.default_rng(7)
 FACTOR = _rng.integers(0, 1 << 64, HASHES, dtype=np.uint64) | np.uint64(1)
 SHIFT = _rng.integers(0, 1 << 64, HASHES, dtype=np.uint64)
-SIGNED = "doc_id long, n_shingles long, f1 long, f2 long, s0 long, s1 long, s2 long, bands array<long>"
+SIGNATURE = [f"s{k}" for k in range(PACKS)]
+SIGNED = f"doc_id long, n_shingles long, f1 long, f2 long, {' '.join(f'{s} long,' for s in SIGNATURE)} bands array<long>"
 
 
 def minima(sets: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -69,7 +72,7 @@ def packed(lows: np.ndarray) -> np.ndarray:
 
 def band_keys(lows: np.ndarray) -> np.ndarray:
     """rows x BANDS keys, the band's number hashed in."""
-    grouped = lows.reshape(BANDS, ROWS, -1)
+    grouped = lows[: ROWS * BANDS].reshape(BANDS, ROWS, -1)
     key = np.arange(1, BANDS + 1, dtype=np.uint64)[:, None] * np.uint64(wd.STEP[20])
     for k in range(ROWS):
         key = key + grouped[:, k] * np.uint64(wd.STEP[21 + k])
@@ -96,7 +99,7 @@ def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             bands = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.ascontiguousarray(keys).reshape(-1).view(np.int64)))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).slice(i, rows), pa.array(sizes.astype(np.int64)), *[pa.array(c.view(np.int64)) for c in cols], bands],
-                names=["doc_id", "n_shingles", "f1", "f2", "s0", "s1", "s2", "bands"])
+                names=["doc_id", "n_shingles", "f1", "f2", *SIGNATURE, "bands"])
 
 
 def least_matches(percent: int) -> int:
@@ -167,11 +170,10 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_
     posted = firsts.select(F.explode("bands").alias("band"), F.col("doc_id").alias("node"))
     buckets = cut(posted.groupBy("band").agg(F.min("node").alias("first"), F.count("*").alias("n")).filter("n > 1"))
     held = cut(posted.join(buckets, "band"))
-    packs = [f"s{k}" for k in range(PACKS)]
     least = least_matches(percent)
 
     def bits(name: str, prefix: str) -> DataFrame:
-        return firsts.select(F.col("doc_id").alias(name), *[F.col(p).alias(f"{prefix}{k}") for k, p in enumerate(packs)])
+        return firsts.select(F.col("doc_id").alias(name), *[F.col(p).alias(f"{prefix}{k}") for k, p in enumerate(SIGNATURE)])
 
     stars = held.filter("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
     stars = stars.join(bits("b", "y"), "b").join(bits("a", "x"), "a").filter(matches("x", "y") >= least).select("a", "b").distinct()
@@ -189,9 +191,9 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_
     sized = cut(mixed.join(near, "node").withColumn("_of", blocks).withColumn("_at", at))
     others = F.sequence(F.lit(0), F.col("_of") - 1)
     x = sized.select("band", F.col("node").alias("a"), F.col("root").alias("ra"), F.col("_at").alias("i"), F.explode(others).alias("j"),
-                     *[F.col(p).alias(f"x{k}") for k, p in enumerate(packs)])
+                     *[F.col(p).alias(f"x{k}") for k, p in enumerate(SIGNATURE)])
     y = sized.select("band", F.col("node").alias("b"), F.col("root").alias("rb"), F.col("_at").alias("j"), F.explode(others).alias("i"),
-                     *[F.col(p).alias(f"y{k}") for k, p in enumerate(packs)])
+                     *[F.col(p).alias(f"y{k}") for k, p in enumerate(SIGNATURE)])
     meet = x.join(y, (x.band == y.band) & (x.i == y.i) & (x.j == y.j) & (x.a < y.b) & (x.ra != y.rb) & (matches("x", "y") >= least))
     apart = cut(meet.select("a", "b").distinct())
     if not apart.isEmpty():
