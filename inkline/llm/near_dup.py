@@ -15,7 +15,7 @@ each other, on blocks of a bucket, and only pairs that pass the estimate leave
 the join.
 
 Bands of 4 minima, 24 times, miss a pair at similarity 0.75 with probability
-1.1e-4; an estimate 4 standard deviations below the threshold adds 3e-5. The
+1.1e-4; an estimate 3.5 standard deviations below the threshold adds 2.3e-4. The
 signature is longer than the bands need, so that the estimate tells the many
 pairs of a large group that are nearly similar from those that are.
 """
@@ -39,7 +39,7 @@ ROWS, BANDS = 4, 24
 HASHES = 384  # the first ROWS x BANDS of them make the bands
 BITS, FIELDS = 2, 32  # fields of BITS bits to a long
 PACKS = HASHES // FIELDS
-DEVIATIONS = 4.0
+DEVIATIONS = 3.5
 BLOCK = 1024  # classes of one bucket that meet in one piece of the join
 LOW_BITS = 0x5555555555555555
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_rules, mixing, near_dup, pieces, quality, url_lists
+from . import licences, line_rules, mixing, near_dup, pieces, pivots, quality, sharding, url_lists, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -28,6 +28,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query("op1_licences")
+def op1(spark, sf):
+    return licences.summary(licences.scan_licences(table(spark, sf, "documents")))
+
+
 @query("op2_quality_neighbours")
 def op2(spark, sf):
     return quality.classify(table(spark, sf, "documents"), table(spark, sf, "labels")).select("doc_id", "held_out", "score", "predicted")
@@ -52,11 +57,26 @@ def op5(spark, sf):
     return judged.withColumns({"fetched": F.col("fetched").cast("string"), "listed": F.col("listed").cast("string")})
 
 
+@query("op6_near_vectors")
+def op6(spark, sf):
+    return pivots.near_vectors(table(spark, sf, "embeddings"))
+
+
+@query("op7_warc")
+def op7(spark, sf):
+    return warc.archive(table(spark, sf, "pages"), with_payload=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 @query("op8_near_dup")
 def op8(spark, sf):
     return near_dup.near_duplicates(table(spark, sf, "documents"))
 
 
+@query("op9_shards")
+def op9(spark, sf):
+    return sharding.placement(sharding.shard(table(spark, sf, "documents")))
+
+
 @query("op10_pieces")
 def op10(spark, sf):
     return pieces.digests(pieces.tokenise(table(spark, sf, "documents"), public_tokenizers.path("piece_bpe_32k.model")))
