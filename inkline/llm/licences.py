@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words as wd
+from .sample import first_by_hash
 
 # Notices of public licences.
 TEMPLATES: dict[str, tuple[str, ...]] = {
@@ -169,9 +170,9 @@ def train(lines: list[str]) -> dict[str, np.ndarray]:
 
 def sample_lines(docs: DataFrame, most: int = MAX_UNKNOWN) -> list[str]:
     """Lines of the documents that come first in md5 order, at most ``most`` documents with one line and 400 characters each."""
-    head = docs.select(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")).alias("h"), F.substring(F.element_at(F.split(F.coalesce("text", F.lit("")), "\n"), -1), 1, 400).alias("a"),
+    head = docs.select("doc_id", F.substring(F.element_at(F.split(F.coalesce("text", F.lit("")), "\n"), -1), 1, 400).alias("a"),
                        F.substring(F.element_at(F.split(F.coalesce("text", F.lit("")), "\n"), 1), 1, 400).alias("b"))
-    rows = head.orderBy("h", "a", "b").limit(most // 2).collect()
+    rows = first_by_hash(head, F.col("doc_id"), most // 2, docs.count()).collect()
     return [x for r in rows for x in (r["a"], r["b"]) if x]
 
 

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from ..session import cut
 from .graph import components
+from .sample import first_by_hash
 
 COSINE = 0.95
 NEAREST, SHARED = 10, 3
@@ -122,7 +123,7 @@ def meet(cosine: float, shared: int):
 def choose(classes: DataFrame, count: int) -> dict[int, tuple[np.ndarray, np.ndarray]]:
     """Unit pivots by width, with their numbers."""
     pivots = min(MAX_PIVOTS, max(MIN_PIVOTS, -(-count // PER_PIVOT)))
-    rows = classes.select("node", "vec", "width").orderBy(F.md5(F.col("node").cast("string").cast("binary"))).limit(pivots).collect()
+    rows = first_by_hash(classes.select("node", "vec", "width"), F.col("node"), pivots, count).collect()
     out = {}
     for d in sorted({r["width"] for r in rows}):
         mine = [(i, r["vec"]) for i, r in enumerate(rows) if r["width"] == d]

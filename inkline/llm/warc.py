@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir, cut
+from .sample import first_by_hash
 
 DICTIONARY_FRAME = 0x184D2A5D
 SAMPLE_RECORDS, SAMPLE_BYTES, DICTIONARY_BYTES = 256, 32_768, 65_536
@@ -137,8 +138,8 @@ def write_archives(pages: DataFrame, folder: str, min_revisit_bytes: int = 0, fi
                  .agg(F.min("page_id").alias("_first"), F.count("*").alias("_n")).filter("_n > 1").drop("_n"))
     again = (F.col("_size") >= min_revisit_bytes) & (F.col("_first") < F.col("page_id"))
     told = rows.join(groups, "_sha1", "left").select("page_id", "url", "html", F.when(again, F.col("_first")).alias("refers_to"))
-    sample = (rows.filter(F.col("_size").between(1, SAMPLE_BYTES)).select("page_id", "url", "html")
-              .orderBy(F.md5(F.col("page_id").cast("string").cast("binary")), "page_id").limit(SAMPLE_RECORDS).collect())
+    small = rows.filter(F.col("_size").between(1, SAMPLE_BYTES)).select("page_id", "url", "html")
+    sample = first_by_hash(small, F.col("page_id"), SAMPLE_RECORDS, pages.count()).collect()
     dictionary = train([record(r["page_id"], r["url"], r["html"].encode(), None) for r in sample])
     return cut(told.mapInArrow(write_task(folder, dictionary, file_bytes), MANIFEST))
 

@@ -1,0 +1,347 @@
+"""Training-data operators against brute force, on small tables with every odd case."""
+
+import base64
+import collections
+import hashlib
+import random
+import re
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+import sentencepiece
+from pyspark.sql import Row
+from pyspark.sql import functions as F
+
+from inkline.llm import licences, line_rules, mixing, near_dup, pieces, pivots, quality, sharding, url_lists, warc
+from inkline.llm.graph import components
+
+DOC = "doc_id long, text string, lang string, source string, n_chars long, score double, kept boolean, node string, component_id string, shard string"
+MODEL = public_tokenizers.path("piece_bpe_32k.model")
+
+
+@pytest.fixture(scope="module")
+def texts():
+    rng = random.Random(4)
+    words = ["".join(rng.choice("abcdeéß") for _ in range(rng.randint(1, 7))) for _ in range(400)]
+    make = lambda n: " ".join(rng.choice(words) for _ in range(n)) + "."
+    base = make(120)
+    out = [None, "", " \t\n", "one", "one two three four", "One  two\tthree four", "### a|b|c !!", make(30_000), base, base, base.upper()]
+    for k in range(25):
+        parts = base.split()
+        for _ in range(k // 3):
+            parts[rng.randrange(len(parts))] = rng.choice(words)
+        out.append(" ".join(parts))
+    out += [make(rng.randint(1, 60)) + "\n" + "Repeated line here.\n" * rng.randint(0, 3) for _ in range(30)]
+    out += ["a b c d e a b c d e a b c d e", "x " * 300, "日本語 🎉 text\r\nLicensed under CC BY-NC 4.0.", "▁ ▁a", "home", "y" * 4000]
+    return out
+
+
+@pytest.fixture(scope="module")
+def docs(spark, texts):
+    rows = [(i, t, ["en", None, "de"][i % 3], f"src{i % 4}" if i % 7 else None, len(t or ""), 0.5, True, "n", "c", "s") for i, t in enumerate(texts)]
+    rows += [rows[8], (None, texts[8], "en", "src1", 3, None, None, None, None, None)]
+    return spark.createDataFrame(rows, DOC).repartition(4).cache()
+
+
+@pytest.fixture(scope="module")
+def nothing(spark):
+    return spark.createDataFrame([], DOC)
+
+
+def word_list(text):
+    return re.findall(r"[^\x20\x09-\x0D]+", text or "")
+
+
+def group(ids, links):
+    root = {i: i for i in ids}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in links:
+        a, b = find(a), find(b)
+        root[max(a, b)] = min(a, b)
+    return {i: find(i) for i in ids}
+
+
+def test_components(spark):
+    rng = random.Random(1)
+    edges = [(k, k + 1) for k in range(60)] + [(100, k) for k in range(101, 160)] + [(rng.randrange(200, 400), rng.randrange(200, 400)) for _ in range(120)]
+    got = {r.node: r.to for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    want = group({x for e in edges for x in e}, edges)
+    assert got == {k: v for k, v in want.items() if k != v}
+
+
+def test_near_duplicates(docs, nothing):
+    rows = docs.select("doc_id", "text").collect()
+    sets = {}
+    for d, t in rows:
+        w = word_list("".join(c.lower() if "A" <= c <= "Z" else c for c in t or ""))
+        sets[d] = {tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) > 4 else ({tuple(w)} if w else set())
+    ids = [d for d in sets if d is not None]
+    links = [(a, b) for a in ids for b in ids if a < b and sets[a] and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])]
+    root = group(ids, links)
+    got = near_dup.near_duplicates(docs).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        assert r.n_shingles == len(sets[r.doc_id])
+        assert (r.component_id, r.kept) == ((root[r.doc_id], root[r.doc_id] == r.doc_id) if r.doc_id is not None else (None, True))
+    assert len(links) > 30 and near_dup.near_duplicates(nothing).count() == 0
+
+
+def test_estimate_is_corrected_for_chance():
+    rng = np.random.default_rng(0)
+    for share in (0.0, 0.5, 0.75, 1.0):
+        n = 3000
+        both = rng.integers(0, 1 << 63, int(n * 2 * share / (1 + share)), dtype=np.uint64)
+        sets = [np.sort(np.concatenate((both, rng.integers(0, 1 << 63, n - len(both), dtype=np.uint64)))) for _ in range(2)]
+        bits = near_dup.packed(near_dup.minima(np.concatenate(sets), np.array([n, n])))
+        x = bits[:, 0] ^ bits[:, 1]
+        differ = sum(int(v).bit_count() for v in (x | x >> np.uint64(1)) & np.uint64(near_dup.LOW_BITS))
+        estimate = ((near_dup.HASHES - differ) / near_dup.HASHES - 0.25) / 0.75
+        assert abs(estimate - share) < 0.12
+
+
+def test_line_rules(docs, nothing):
+    got = line_rules.apply_rules(docs).collect()
+    assert len(got) == docs.count() and set(docs.columns) <= set(got[0].asDict())
+    for r in got:
+        w, lines = word_list(r.text), [x for x in (r.text or "").split("\n") if word_list(x)]
+        seen = collections.Counter(tuple(w[i : i + 5]) for i in range(len(w) - 4))
+        inside = {i + k for i in range(len(w) - 4) if seen[tuple(w[i : i + 5])] > 1 for k in range(5)}
+        assert (r.n_words, r.word_chars, r.n_repeat_words) == (len(w), sum(map(len, w)), len(inside))
+        assert (r.n_symbols, r.n_dup_lines) == (len(re.findall(r"[#*$%&|<>]", r.text or "")), len(lines) - len(set(lines)))
+        assert r.base_failed == (len(w) < 10 or 100 * len(inside) > 20 * len(w))
+        if r.n_failed_lines == 0:
+            assert r.cleaned == (r.text or "") and r.kept == (not r.base_failed)
+    assert line_rules.apply_rules(nothing).count() == 0
+
+
+def test_line_rules_take_lines_out(spark):
+    prose = "A sentence that ends as it should, and has more than ten words in it."
+    rows = [(1, prose + "\nHome\na | b | c\nWe use: accept all cookies.\n" + "word " * 30), (2, "WHAT!! A!! SHOUT!! THIS!! IS!! AND!! ON!! IT!! GOES!! SO!! LONG!!"), (3, prose)]
+    got = {r.doc_id: r for r in line_rules.apply_rules(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[1].cleaned == prose and got[1].n_failed_lines == 4 and not got[1].kept
+    assert not got[2].kept and not got[2].base_failed and got[3].kept
+
+
+def test_tokens(docs, nothing, texts):
+    library = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    got = pieces.tokenise(docs, MODEL).collect()
+    by_id = dict(enumerate(texts)) | {None: texts[8]}
+    assert len(got) == docs.count()
+    for r in got:
+        ids = library.encode(by_id[r.doc_id] or "")
+        assert r.ids == ids and r.decoded == library.decode(ids)
+    assert pieces.digests(pieces.tokenise(nothing, MODEL)).count() == 0
+
+
+def test_vocabulary_on_random_text():
+    with open(MODEL, "rb") as f:
+        vocabulary = pieces.Vocabulary(f.read())
+    rng, library = random.Random(2), vocabulary.library
+    for _ in range(600):
+        text = "".join(rng.choice("ab ▁\n\t\r;{}é日🎉 the<>0x\x00") for _ in range(rng.randint(1, 90)))
+        assert vocabulary.encode(text) == library.encode(text)
+        ids = [rng.choice([3 + rng.randrange(256), rng.randrange(1, 32000)]) for _ in range(rng.randint(0, 6))]
+        assert vocabulary.decode(ids) == library.decode(ids)
+    unit = "the " * 3 + "x" * 70 + "▁" * 40
+    assert vocabulary.ids_of(vocabulary.encode_long(unit.replace(" ", "▁"))) == library.encode(unit)[1:] or vocabulary.encode(unit) == library.encode(unit)
+
+
+def test_wrong_units_are_noticed():
+    with open(MODEL, "rb") as f:
+        vocabulary = pieces.Vocabulary(f.read())
+    ids, ends = vocabulary.encode_units(["▁hello", "▁world"])
+    with pytest.raises(ValueError):
+        vocabulary.compare(["▁hello", "▁word"], ids, ends)
+
+
+def test_mixing(docs, nothing):
+    weights = {"a": 3, "b": 1, "a/en": 2, "a/null": 0}
+    domain = F.when(F.col("doc_id") % 2 == 0, "a").otherwise("b")
+    for share, epochs in ((0.5, 1), (0.4, 3), (1.0, 1)):
+        got = mixing.mix(docs, domain, share=share, epochs=epochs, weights=weights).collect()
+        assert len(got) == docs.count()
+        leaves = collections.defaultdict(list)
+        for r in got:
+            assert r.n_tokens == len(word_list(r.text))
+            leaves[r.domain, r.lang or "null", r.source or "null"].append(r)
+        total = int(sum(r.n_tokens for r in got) * round(share * 1000) / 1000)
+        budgets = {(): total}
+        for level in range(3):
+            for parent in [p for p in budgets if len(p) == level]:
+                kids = sorted({k[: level + 1] for k in leaves if k[:level] == parent})
+                cap = {k: epochs * sum(r.n_tokens for leaf, rs in leaves.items() if leaf[: level + 1] == k for r in rs) for k in kids}
+                w = {k: weights.get("/".join(k), 1) for k in kids}
+                open_, left = {k for k in kids if w[k]}, budgets[parent]
+                given = dict.fromkeys(kids, 0)
+                while open_:
+                    full = {k for k in open_ if cap[k] * sum(w[x] for x in open_) <= left * w[k]}
+                    if not full:
+                        given |= {k: left * w[k] // sum(w[x] for x in open_) for k in open_}
+                        break
+                    given |= {k: cap[k] for k in full}
+                    left -= sum(cap[k] for k in full)
+                    open_ -= full
+                budgets |= given
+        for leaf, rs in leaves.items():
+            supply, budget = sum(r.n_tokens for r in rs), budgets[leaf]
+            passes = min(epochs, budget // supply) if supply else 0
+            rest = budget - passes * supply if passes < epochs else -1
+            place = lambda r: hashlib.md5(f"17:{passes}:{'null' if r.doc_id is None else r.doc_id}".encode()).hexdigest()  # noqa: B023, E731
+            for r in rs:
+                upto = sum(x.n_tokens for x in rs if place(x) <= place(r))
+                assert r.copies == passes + (upto <= rest), (leaf, r.doc_id)
+    assert mixing.mix(nothing, F.lit("a")).count() == 0
+
+
+def test_url_lists(spark):
+    day = lambda n: f"2024-01-{n:02d}"
+    events = [("bad.com", "spam", day(5), "add"), ("bad.com", "spam", day(10), "remove"), ("BAD.com", "spam", day(20), "add"), ("x.bad.com", "adult", day(7), "add"),
+              ("bad.com", "spam", day(5), "add"), ("tie.org", None, day(3), "remove"), ("tie.org", None, day(3), "add"), (None, "spam", day(1), "add"), ("no.day", "spam", None, "add")]
+    ev = spark.createDataFrame(events, "domain string, category string, day string, action string").withColumn("day", F.col("day").cast("date"))
+    caps = [(1, "http://bad.com/a", day(4)), (2, "https://u:p@X.bad.com.:80/?q", day(8)), (3, "http://bad.com", day(10)), (4, "http://a.b.bad.com#x", day(25)),
+            (5, "http://notbad.com", day(25)), (6, None, day(8)), (7, "no url", day(8)), (8, "http://tie.org/", day(30)), (9, "http://bad.com", None), (1, "http://bad.com/a", day(4))]
+    cp = spark.createDataFrame(caps, "page_id long, url string, fetched string").withColumns({"fetched": F.col("fetched").cast("date"), "host": F.lit("clash"), "blocked": F.lit(1)})
+    got = sorted((r.page_id, r.host, r.blocked, r.matched_domain, r.category) for r in url_lists.judge(cp, ev).select("page_id", "host", "blocked", "matched_domain", "category").fillna("-", ["host", "matched_domain", "category"]).collect())
+    assert got == [(1, "bad.com", False, "-", "-")] * 2 + [(2, "x.bad.com", True, "x.bad.com", "adult"), (3, "bad.com", False, "-", "-"), (4, "a.b.bad.com", True, "bad.com", "spam"),
+                   (5, "notbad.com", False, "-", "-"), (6, "-", False, "-", "-"), (7, "-", False, "-", "-"), (8, "tie.org", True, "tie.org", ""), (9, "bad.com", False, "-", "-")]
+    assert url_lists.judge(cp.limit(0), ev).count() == 0 and url_lists.judge(cp, ev.limit(0)).filter("blocked").count() == 0
+
+
+def test_quality(spark, docs, nothing):
+    rng = random.Random(3)
+    good = [" ".join(rng.choice(["river", "the", "stone", "walks", "Under", "light"]) for _ in range(30)) + "." for _ in range(150)]
+    junk = [" ".join(rng.choice(["### $$$", "BUY!! NOW!!", "| link |"]) for _ in range(20)) for _ in range(60)]
+    rows = [(i, t) for i, t in enumerate(good + junk)] + [(900, None), (901, ""), (None, good[0]), (0, good[0])]
+    d = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"label": F.lit(0), "score": F.lit("x"), "_score": F.lit("y")})
+    labels = spark.createDataFrame([(i, int(i < 150), 0) for i in range(210)] + [(None, 1, 0), (5, None, 0)], "doc_id long, quality int, toxic int")
+    got = quality.classify(d, labels).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        assert 0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) and r._score == "y"
+        assert r.held_out == (r.doc_id is not None and zlib.crc32(str(r.doc_id).encode()) % 3 == 1)
+        if r.doc_id is not None and r.doc_id < 210:
+            assert r.predicted == (r.doc_id < 150)
+    assert {r.score for r in quality.classify(d, labels.limit(0)).collect()} == {0.5}
+    assert quality.classify(nothing, labels).count() == 0
+
+
+def test_vectors(spark):
+    rng = np.random.default_rng(6)
+    base = rng.standard_normal((40, 16))
+    vecs = [list(map(float, base[rng.integers(0, 40)] + 0.12 * rng.standard_normal(16))) for _ in range(500)]
+    vecs += [vecs[0], [2 * x for x in vecs[1]], None, [], [0.0] * 16, [float("nan")] + [1.0] * 15, [None] + [1.0] * 15, [float("inf")] * 16, [1.0, 2.0], [2.0, 4.1], [1e200] * 16, [2e200] * 16]
+    rows = [(i, v, "x") for i, v in enumerate(vecs)] + [(7, vecs[7], "x"), (None, vecs[7], "x")]
+    got = pivots.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, node string")).collect()
+    ok = {i: v for i, v in enumerate(vecs) if v and None not in v and np.isfinite(v).all() and any(v)}
+    unit = {i: np.array(v) / max(map(abs, v)) for i, v in ok.items()}
+    unit = {i: v / np.linalg.norm(v) for i, v in unit.items()}
+    links = [(a, b) for a in ok for b in ok if a < b and len(ok[a]) == len(ok[b]) and unit[a] @ unit[b] >= 0.95]
+    n = collections.Counter(x for e in links for x in e)
+    root = group(range(len(vecs)), links)
+    copies = {x for e in links if 7 in e for x in e}
+    assert len(got) == len(rows)
+    found = wanted = 0
+    for r in got:
+        if r.vec_id is None:
+            assert (r.n_links, r.component_id, r.kept) == (0, None, True)
+        elif r.vec_id in ok:
+            want = n[r.vec_id] + (r.vec_id in copies | {7})
+            assert r.n_links <= want and r.component_id >= root[r.vec_id] and r.kept == (r.component_id == r.vec_id)
+            found, wanted = found + r.n_links, wanted + want
+        else:
+            assert (r.n_links, r.component_id, r.kept) == (0, r.vec_id, True)
+    assert found >= 0.97 * wanted > 1000
+    assert pivots.near_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
+
+
+def test_archives(spark, tmp_path):
+    pages = [(i, f"http://h/{i}\r\nX: y" if i % 5 else None, "<p>" + "word " * (i % 6) * 40) for i in range(60)] + [(60, "u", None), (61, "u", ""), (62, "u", "é" * 70_000), (None, "u", "alone"), (3, "u", "<p>" + "word " * 3 * 40)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string").repartition(3)
+    for least, size in ((0, 1 << 26), (200, 2000)):
+        got = warc.archive(df, str(tmp_path / f"w{least}"), min_revisit_bytes=least, file_bytes=size).collect()
+        assert len(got) == len(pages)
+        first = {}
+        for i, _, h in pages:
+            if i is not None:
+                first[h or ""] = min(i, first.get(h or "", i))
+        html = {i: h or "" for i, _, h in pages}
+        for r in got:
+            raw = html[r.page_id].encode()
+            assert (r.payload_bytes, r.payload_digest) == (len(raw), base64.b32encode(hashlib.sha1(raw).digest()).decode())
+            want = first[html[r.page_id]] if r.page_id is not None else None
+            again = r.page_id is not None and len(raw) >= least and want < r.page_id
+            assert (r.record_type, r.refers_to) == (("revisit", want) if again else ("response", None))
+            assert again or r.payload == raw
+    files = list((tmp_path / "w0").iterdir())
+    assert files and all(f.read_bytes()[:4] == b"\x5d\x2a\x4d\x18" for f in files)
+    assert warc.archive(df.limit(0), str(tmp_path / "none")).count() == 0
+
+
+def test_shards(docs, nothing, tmp_path):
+    got = sharding.placement(sharding.shard(docs, str(tmp_path / "s"), bucket_bytes=2000)).collect()
+    again = sharding.placement(sharding.shard(docs.repartition(2), str(tmp_path / "t"), bucket_bytes=2000)).collect()
+    key = lambda r: (str(r.doc_id), r.shard, r.slot)
+    assert sorted(map(key, got)) == sorted(map(key, again)) and len(got) == docs.count()
+    shards = collections.defaultdict(list)
+    for r in got:
+        shards[r.shard].append(r.slot)
+        assert 0 <= r.shard < 16 and r.grown_shard in (r.shard, 16) and r.law == "key"
+    assert all(sorted(s) == list(range(len(s))) for s in shards.values())
+    want = collections.Counter((d, len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for d, t in docs.select("doc_id", "text").collect())
+    assert collections.Counter((r.doc_id, r.size, r.text_crc32) for r in got) == want
+    order = sharding.fisher_yates(1000, [1, 2]).tolist()
+    assert sorted(order) == list(range(1000)) and order != list(range(1000))
+    assert sharding.shard(nothing, str(tmp_path / "n")).count() == 0
+
+
+def test_licences(spark, docs, nothing):
+    rng = random.Random(8)
+    noise = lambda n: " ".join(rng.choice(["river", "stone", "light", "under", "walks"]) for _ in range(n)) + "."
+    rows, want = [], {}
+    for i, (family, ts) in enumerate([(f, t) for f, t in licences.TEMPLATES.items() for _ in range(2)]):
+        rows.append((i, noise(300 if i % 2 else 20) + "\n" + ts[i % len(ts)] + "\n" + noise(9)))
+        want[i] = family
+    rows += [(100 + k, noise(50)) for k in range(150)] + [(300, None), (301, ""), (None, noise(5)), (302, "the licence of a poet and all their rights")]
+    got = {r.doc_id: r for r in licences.summary(licences.scan_licences(spark.createDataFrame(rows, "doc_id long, text string"))).collect()}
+    assert len(got) == len({r[0] for r in rows})
+    assert sum(got[i].licences == f for i, f in want.items()) >= len(want) - 1
+    assert all(got[i].licences == "" for i, *_ in rows if i not in want)
+    assert licences.scan_licences(nothing).count() == 0 and licences.scan_licences(docs).count() == docs.count()
+
+
+def test_queries_are_registered():
+    import __spark_entry__ as entry
+
+    names = [k for k in entry.queries() if re.match(r"op\d+_", k)]
+    assert sorted(int(k[2:].split("_")[0]) for k in names) == list(range(1, 11)) and "pipeline" in entry.queries()
+
+
+@pytest.mark.parametrize("key", ["op3_mix_sources", "op4_line_rules", "op5_url_lists"])
+def test_matches_sql(spark, sf, key):
+    import __spark_entry__ as entry
+    from oracle_check import compare, duck
+
+    status, _, note = compare(spark, duck(sf), sf, entry.queries()[key], entry.oracle_sql()[key])
+    assert status == "OK", note
+
+
+def test_pipeline(spark, sf):
+    import corpus_pipeline as p
+
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    kept = docs
+    for name, stage in p.STAGES[:-1]:
+        out = stage(spark, kept, sf).cache()
+        assert out.columns == docs.columns
+        ids = {r.doc_id for r in out.select("doc_id").collect()}
+        assert ids and ids <= {r.doc_id for r in kept.select("doc_id").collect()}, name
+        kept = out
+    last = p.STAGES[-1][1](spark, kept, sf)
+    assert last.count() == kept.count() and isinstance(last.first(), Row)
