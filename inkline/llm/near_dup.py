@@ -172,8 +172,8 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_
     held = cut(posted.join(buckets, "band"))
     least = least_matches(percent)
 
-    def bits(name: str, prefix: str) -> DataFrame:
-        return firsts.select(F.col("doc_id").alias(name), *[F.col(p).alias(f"{prefix}{k}") for k, p in enumerate(SIGNATURE)])
+    def bits(name: str, prefix: str, *more: str) -> DataFrame:
+        return firsts.select(F.col("doc_id").alias(name), *[F.col(p).alias(f"{prefix}{k}") for k, p in enumerate(SIGNATURE)], *more)
 
     stars = held.filter("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
     stars = stars.join(bits("b", "y"), "b").join(bits("a", "x"), "a").filter(matches("x", "y") >= least).select("a", "b").distinct()
@@ -185,17 +185,19 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_
     placed = cut(held.select("band", "node", "n").join(root, "node", "left").withColumn("root", F.coalesce("root", "node")))
     mixed = placed.groupBy("band").agg(F.min("root").alias("_lo"), F.max("root").alias("_hi")).filter("_lo < _hi").select("band")
     mixed = placed.join(cut(mixed), "band")
-    near = bits("node", "s")
+    near = bits("node", "s", "bands")
     blocks = F.greatest(F.lit(1), F.ceil(F.col("n") / BLOCK)).cast("int")
     at = F.pmod(F.xxhash64("node"), blocks).cast("int")
     sized = cut(mixed.join(near, "node").withColumn("_of", blocks).withColumn("_at", at))
     others = F.sequence(F.lit(0), F.col("_of") - 1)
-    x = sized.select("band", F.col("node").alias("a"), F.col("root").alias("ra"), F.col("_at").alias("i"), F.explode(others).alias("j"),
+    x = sized.select("band", F.col("node").alias("a"), F.col("root").alias("ra"), F.col("_at").alias("i"), F.explode(others).alias("j"), F.col("bands").alias("ba"),
                      *[F.col(p).alias(f"x{k}") for k, p in enumerate(SIGNATURE)])
-    y = sized.select("band", F.col("node").alias("b"), F.col("root").alias("rb"), F.col("_at").alias("j"), F.explode(others).alias("i"),
+    y = sized.select("band", F.col("node").alias("b"), F.col("root").alias("rb"), F.col("_at").alias("j"), F.explode(others).alias("i"), F.col("bands").alias("bb"),
                      *[F.col(p).alias(f"y{k}") for k, p in enumerate(SIGNATURE)])
-    meet = x.join(y, (x.band == y.band) & (x.i == y.i) & (x.j == y.j) & (x.a < y.b) & (x.ra != y.rb) & (matches("x", "y") >= least))
-    apart = cut(meet.select("a", "b").distinct())
+    # a pair that shares several bands leaves the join in one of them
+    once = F.array_min(F.array_intersect("ba", "bb")) == x.band
+    meet = x.join(y, (x.band == y.band) & (x.i == y.i) & (x.j == y.j) & (x.a < y.b) & (x.ra != y.rb) & (matches("x", "y") >= least) & once)
+    apart = cut(meet.select("a", "b"))
     if not apart.isEmpty():
         more = confirmed(apart, docs, percent)
         if not more.isEmpty():
