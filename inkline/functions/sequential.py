@@ -1,6 +1,6 @@
-"""Per-document measures that walk the text: a stateful scan, a sliding window, a codec.
+"""Per-document measures that walk the text: a fold, a sliding window, a codec.
 
-Both run as Arrow-batched column functions, one pass over the text each.
+The fold is a JVM expression; the other two are Arrow-batched column functions, one pass over the text each.
 """
 
 from __future__ import annotations
@@ -9,34 +9,52 @@ import zlib
 
 import numpy as np
 import pandas as pd
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 
-def mtld_factors(words, threshold: float) -> float:
-    """Mean tokens per stretch whose type-token ratio stays at or above the threshold."""
-    factors, seen, length = 0.0, set(), 0
-    for word in words:
-        seen.add(word)
-        length += 1
-        if len(seen) / length < threshold:
-            factors += 1.0
-            seen, length = set(), 0
-    if length:
-        factors += (1.0 - len(seen) / length) / (1.0 - threshold)
-    return len(words) / factors if factors > 0 else float(len(words))
+def let(value: Column, body) -> Column:
+    """Binds a value that an expression uses several times."""
+    return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def mtld_of(words, threshold: float = 0.72) -> float:
-    if len(words) < 50:
-        return float(len(set(words)))
-    return (mtld_factors(words, threshold) + mtld_factors(words[::-1], threshold)) / 2.0
+def stretches(codes: Column, threshold: float) -> Column:
+    """How many stretches a sequence holds; the unfinished last one counts by how far its ratio has come down from 1.
 
+    A stretch ends with the token that takes its share of different tokens
+    below the threshold. The fold carries the ended stretches, the different
+    tokens of the running one, and its length.
+    """
+    empty = F.array().cast("array<bigint>")
+    start = F.struct(F.lit(0).cast("bigint").alias("ended"), empty.alias("kinds"), F.lit(0).alias("length"))
 
-@F.pandas_udf(DoubleType())
-def mtld(joined: pd.Series) -> pd.Series:
-    """Lexical diversity of lower-cased tokens, given as one blank-joined string."""
-    return joined.map(lambda s: mtld_of(s.split()))
+    def step(state: Column, code: Column) -> Column:
+        def grown(kinds: Column) -> Column:
+            length = state["length"] + 1
+            ends = F.size(kinds) < threshold * length
+            return F.struct((state["ended"] + ends.cast("bigint")).alias("ended"), F.when(ends, empty).otherwise(kinds).alias("kinds"),
+                            F.when(ends, 0).otherwise(length).alias("length"))
+        return let(F.array_union(state["kinds"], F.array(code)), grown)
+
+    def finish(state: Column) -> Column:
+        ratio = F.try_divide(F.size(state["kinds"]), state["length"])
+        return state["ended"] + F.coalesce((1 - ratio) / (1 - threshold), F.lit(0.0))
+
+    return F.aggregate(codes, start, step, finish)
+
+
+def mtld(joined: Column, threshold: float = 0.72, least: int = 50) -> Column:
+    """Measure of textual lexical diversity of blank-joined tokens: tokens per stretch, the mean of both reading directions.
+
+    Fewer than ``least`` tokens give the number of different ones.
+    """
+    def both(codes: Column) -> Column:
+        n = F.size(codes)
+        ways = [let(stretches(x, threshold), lambda k: F.when(k > 0, n / k).otherwise(n.cast("double"))) for x in (codes, F.reverse(codes))]
+        return F.when(n < least, F.size(F.array_distinct(codes)).cast("double")).otherwise((ways[0] + ways[1]) / 2)
+
+    return let(F.transform(F.array_remove(F.split(joined, " "), ""), lambda w: F.xxhash64(w)), both)
 
 
 def deflate_share(text: str) -> float:

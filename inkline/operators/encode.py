@@ -64,7 +64,7 @@ def shift_nonneg(df: DataFrame, fitted: dict, eps: float = 1e-9) -> DataFrame:
 
 
 def class_weights(df: DataFrame, label: str = "label") -> DataFrame:
-    """``n / (k n_c)`` per class and whether the two largest classes differ by more than 10% of the rows."""
+    """``n / (k n_c)`` per class and whether the largest and the smallest class differ by more than 10% of the rows."""
     counts = df.groupBy(F.col(label).alias("label")).agg(F.count("*").alias("n"))
     every = W.partitionBy(F.lit(0))  # one row per class
     n, k = F.sum("n").over(every), F.count("*").over(every)

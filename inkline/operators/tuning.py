@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import random
 
 from pyspark.ml.evaluation import Evaluator
@@ -11,9 +12,10 @@ from pyspark.sql import functions as F
 
 from . import metrics, models
 
-# fixed values: parameters when no search is asked for
-DEFAULT_FOREST = {"trees": 100, "depth": 10}
-DEFAULT_BOOST = {"maxDepth": 8, "stepSize": 0.05, "subsamplingRate": 0.8, "featureSubsetStrategy": "0.8", "minInstancesPerNode": 3, "minInfoGain": 0.1}
+# fixed values: ranges of the search
+LEARNING_RATE = (0.01, 0.2)
+GAIN_SUM = (0.0, 0.3)  # of a node; divided by NODE_ROWS for the library's floor, which is per row
+NODE_ROWS = 1000
 
 
 class MatthewsEvaluator(Evaluator):
@@ -32,12 +34,12 @@ class MatthewsEvaluator(Evaluator):
 
 
 def sample_params(trials: int, seed: int = 42, rounds: tuple[int, ...] = tuple(range(100, 501, 50))) -> list[dict]:
-    """Seeded draws: depth 4-10, rate 0.01-0.2 (log), rounds, row and column shares 0.7-0.95, leaf size 1-7, gain 0-0.3."""
+    """Seeded draws: depth 4-10, rate 0.01-0.2 (log), rounds, row and column shares 0.7-0.95, leaf size 1-7, summed gain 0-0.3."""
     rng = random.Random(seed)
     return [{
-        "maxDepth": rng.randint(4, 10), "stepSize": 10 ** rng.uniform(-2.0, -0.69897), "maxIter": rng.choice(rounds),
+        "maxDepth": rng.randint(4, 10), "stepSize": math.exp(rng.uniform(*map(math.log, LEARNING_RATE))), "maxIter": rng.choice(rounds),
         "subsamplingRate": rng.uniform(0.7, 0.95), "featureSubsetStrategy": f"{rng.uniform(0.7, 0.95):.4f}",
-        "minInstancesPerNode": rng.randint(1, 7), "minInfoGain": rng.uniform(0.0, 0.3),
+        "minInstancesPerNode": rng.randint(1, 7), "minInfoGain": rng.uniform(*GAIN_SUM) / NODE_ROWS,
     } for _ in range(trials)]
 
 

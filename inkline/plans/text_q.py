@@ -62,10 +62,16 @@ def filter_min_chars(spark, sf):
   SELECT doc_id, text, label::int AS label FROM ({LABELLED}) WHERE text IS NOT NULL AND label IS NOT NULL
   AND {strip_sql('text')} <> ''),
 d AS (SELECT *, row_number() OVER (PARTITION BY text ORDER BY doc_id) AS rn FROM s),
-t AS (SELECT doc_id, label, substr(text, 1, 3000) AS text FROM d WHERE rn = 1)
+t AS (SELECT doc_id, label, text FROM d WHERE rn = 1)
 SELECT doc_id, label::bigint AS label, {CLEAN} AS text FROM t""")
 def clean_chain(spark, sf):
-    return tidy(clean.cleaning_chain(labelled(spark, sf), max_chars=3000))
+    return tidy(clean.cleaning_chain(labelled(spark, sf)))
+
+
+@query("truncate_chars", "SELECT doc_id, substr(text, 1, 3000) AS head FROM documents")
+def truncate_chars(spark, sf):
+    """Truncation as an operator of its own; the cleaning chain keeps whole texts."""
+    return documents(spark, sf).select("doc_id", F.substring("text", 1, 3000).alias("head"))
 
 
 @query("dedup_text", """SELECT doc_id, lang, source FROM (
