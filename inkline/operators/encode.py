@@ -12,10 +12,10 @@ from pyspark.sql import functions as F
 
 
 def label_encode(df: DataFrame, column: str, out: str) -> DataFrame:
-    """Codes 0, 1, ... in sorted order of the distinct values."""
-    codes = df.select(column).distinct().withColumn(
+    """Codes 0, 1, ... in sorted order of the distinct values; NULL keeps a NULL code."""
+    codes = df.select(column).filter(F.col(column).isNotNull()).distinct().withColumn(
         out, F.row_number().over(W.partitionBy(F.lit(0)).orderBy(column)) - 1)  # one row per category
-    return df.join(codes, column)
+    return df.join(codes, column, "left")
 
 
 def one_hot(df: DataFrame, column: str, categories: list[str] | None = None) -> DataFrame:

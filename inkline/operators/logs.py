@@ -44,15 +44,16 @@ def asof_join(left: DataFrame, right: DataFrame, on: str, by: list[str] | None =
 
     The number of right rows up to a point is that row's rank, so after one
     bucketed running count the as-of join is an equi-join on the rank. Right
-    rows must be distinct in ``(by, on)``; their other columns are added.
+    rows must be distinct in ``(by, on)``; their other columns are added. A left
+    row whose ``on`` is NULL is kept without a match.
     """
     keys = list(by or [])
     points = left.select(*keys, on, F.lit(0).alias("_r")).unionByName(right.select(*keys, on, F.lit(1).alias("_r")))
-    points = points.groupBy(*keys, on).agg(F.max("_r").alias("_r"))
+    points = points.filter(F.col(on).isNotNull()).groupBy(*keys, on).agg(F.max("_r").alias("_r"))
     ranks = running_totals(points, on, ["_r"], keys).select(*keys, on, F.col("cum__r").alias("_rank"))
     values = [c for c in right.columns if c not in (*keys, on)]
     found = right.join(ranks, [*keys, on]).select(*keys, "_rank", F.col(on).alias(f"{on}_matched"), *values)
-    return left.join(ranks, [*keys, on]).join(found, [*keys, "_rank"], "left").drop("_rank")
+    return left.join(ranks, [*keys, on], "left").join(found, [*keys, "_rank"], "left").drop("_rank")
 
 
 def normalise_columns(df: DataFrame, columns: list[str], flip: tuple[str, ...] = ()) -> DataFrame:

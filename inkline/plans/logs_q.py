@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..operators import curves, eda, linear, logs, metrics, split
-from ..sources.tables import load, spread
-from .registry import query, tidy
+from ..sources.tables import load
+from .registry import query, r6, tidy
 from .sqltext import big, r
 from .text_q import labelled
 
@@ -16,7 +16,7 @@ LEN_SQL = f"""lens AS (SELECT l.quality AS label, length(text) AS chars,
 
 
 def lengths(spark, sf):
-    docs = spread(labelled(spark, sf), "doc_id")
+    docs = labelled(spark, sf)
     return docs.select("doc_id", "label", F.length("text").alias("chars"), F.size(tx.blank_tokens(F.col("text"))).alias("words"))
 
 
@@ -155,14 +155,14 @@ def early_stop(spark, sf):
 
 
 # --- regression ---------------------------------------------------------------------
-FIT_SQL = """fit AS (SELECT round(regr_slope(l_extendedprice, l_quantity), 2) AS b, round(regr_intercept(l_extendedprice, l_quantity), 2) AS a FROM lineitem),
+FIT_SQL = """fit AS (SELECT regr_slope(l_extendedprice, l_quantity) AS b, regr_intercept(l_extendedprice, l_quantity) AS a FROM lineitem),
 pr AS (SELECT l_extendedprice AS y, a + b * l_quantity AS yhat FROM lineitem, fit)"""
 
 
 def fitted_line(spark, sf):
     items = load(spark, sf, "lineitem").select(F.col("l_quantity").alias("x"), F.col("l_extendedprice").alias("y"))
     slope, intercept = linear.fit_line(items, "x", "y")
-    return items.withColumn("yhat", F.lit(round(intercept, 2)) + F.lit(round(slope, 2)) * F.col("x"))
+    return items.withColumn("yhat", F.lit(intercept) + F.lit(slope) * F.col("x"))
 
 
 @query("linreg_simple", f"""SELECT {r('regr_slope(l_extendedprice, l_quantity)', 4)} AS slope,
@@ -176,9 +176,10 @@ def linreg_simple(spark, sf):
 
 
 @query("regression_metrics", f"""WITH {FIT_SQL} SELECT {r('avg((y - yhat) ** 2)', 2)} AS mse,
-{r('1 - avg((y - yhat) ** 2) / var_pop(y)', 2)} AS r2 FROM pr""")
+{r('1 - avg((y - yhat) ** 2) / var_pop(y)')} AS r2 FROM pr""")
 def regression_metrics(spark, sf):
-    return tidy(metrics.regression_metrics(fitted_line(spark, sf)), 2)
+    found = tidy(metrics.regression_metrics(fitted_line(spark, sf)))
+    return found.withColumn("mse", r6(F.col("mse"), 2))
 
 
 @query("residual_hist", f"""WITH {FIT_SQL}, e AS (SELECT y - yhat AS v, min(y - yhat) OVER () AS lo, max(y - yhat) OVER () AS hi FROM pr)

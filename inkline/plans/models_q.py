@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..functions import lexicons as lx, stylometry as st, text as tx
 from ..operators import boost, encode, metrics, models, scoring, selection as sel, split, tuning
 from ..session import checkpoint_dir, cut
-from ..sources.tables import load, spread
+from ..sources.tables import load
 from ..streaming import score_stream as ss
 from .registry import query, tidy
 from .select_q import SCORED_FEATURES
@@ -19,9 +19,9 @@ from .vectors_q import vectors
 
 def style_frame(spark, sf):
     """Scaled stylometric features of the labelled documents with an 80/20 split, written once."""
-    docs = spread(labelled(spark, sf), "doc_id")
+    docs = labelled(spark, sf)
     feats = {**st.basic(), **st.lexical(), **st.sentence(), **st.punctuation(), **st.char_classes()}
-    data = cut(tidy(st.select_features(st.prepare(docs), ["doc_id", "label"], feats)))
+    data = cut(st.select_features(st.prepare(docs), ["doc_id", "label"], feats))
     parts = split.stratified(data.select("doc_id", "label"), "doc_id", "label")
     data = data.join(parts.select("doc_id", "split"), "doc_id")
     fitted = encode.fit_standard(data.filter("split = 'train'"), SCORED_FEATURES)
@@ -39,9 +39,9 @@ def evaluate(model, test):
 @query("decision_tree")
 def decision_tree(spark, sf):
     """Gini tree on the 20 features with the best chi-square score on the training rows."""
-    docs = spread(labelled(spark, sf), "doc_id")
+    docs = labelled(spark, sf)
     feats = {**st.basic(), **st.lexical(), **st.sentence(), **st.punctuation(), **st.char_classes()}
-    data = cut(tidy(st.select_features(st.prepare(docs), ["doc_id", "label"], feats)))
+    data = cut(st.select_features(st.prepare(docs), ["doc_id", "label"], feats))
     data = cut(split.stratified(data, "doc_id", "label"))
     train = encode.shift_nonneg(data.filter("split = 'train'"), encode.fit_shift(data.filter("split = 'train'"), SCORED_FEATURES))
     best = [r["feature"] for r in sel.select_k_best(sel.chi2_scores(train, SCORED_FEATURES), SCORED_FEATURES, 20).collect()]
@@ -66,7 +66,7 @@ def gbt(spark, sf):
 
 
 def tfidf_frame(spark, sf, size):
-    docs = spread(labelled(spark, sf), "doc_id").select("doc_id", "label", tx.term_tokens(F.col("text")).alias("tokens"))
+    docs = labelled(spark, sf).select("doc_id", "label", tx.term_tokens(F.col("text")).alias("tokens"))
     docs = cut(docs)
     vec = models.fit_tfidf(docs, "tokens", "features", size).transform(docs)
     parts = split.random_split(docs.select("doc_id"), "doc_id", 0.2)
@@ -100,7 +100,7 @@ def flag_frame(spark, sf):
 def logistic_regression(spark, sf):
     items, cols = flag_frame(spark, sf)
     data = models.assemble(items, cols).select(F.col("label").cast("double").alias("label"), "features").cache()
-    model = models.logistic(data.count(), max_iter=100).fit(data)
+    model = models.logistic(data.count()).fit(data)
     out = model.transform(data).select(F.col("label").cast("int").alias("label"), F.col("prediction").cast("int").alias("pred"))
     return tidy(metrics.classification_report(out))
 
@@ -196,7 +196,7 @@ def tune_gbt(spark, sf):
 
 
 def small_scorer(spark, sf):
-    return scoring.fit_scorer(spread(labelled(spark, sf), "doc_id"), trees=20, rounds=5, depth=6)
+    return scoring.fit_scorer(labelled(spark, sf), trees=20, rounds=5, depth=6)
 
 
 @query("score_batch")

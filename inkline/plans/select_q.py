@@ -9,7 +9,7 @@ from ..operators import encode, selection as sel
 from ..sources.tables import load, spread
 from . import features_q as fq
 from .registry import query, tidy
-from .sqltext import BASE, big, freq_cte, r
+from .sqltext import BASE, big, exact, freq_cte, r
 
 # categorical view of lineitem; both engines read the same expressions
 CAT = {
@@ -149,11 +149,14 @@ def feature_class_counts(spark, sf):
     return tidy(sel.feature_class_counts(cat(spark, sf), CATS))
 
 
+PART_COLUMNS = ["p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"]
+
+
 @query("numeric_detect", " UNION ALL ".join(
     f"SELECT '{c}' AS feature, bool_and(try_cast({c}::varchar AS double) IS NOT NULL) AS is_numeric FROM part WHERE {c} IS NOT NULL"
-    for c in ("p_partkey", "p_name", "p_brand", "p_size", "p_retailprice")))
+    for c in PART_COLUMNS))
 def numeric_detect(spark, sf):
-    return sel.numeric_columns(load(spark, sf, "part").select("p_partkey", "p_name", "p_brand", "p_size", "p_retailprice"))
+    return sel.numeric_columns(load(spark, sf, "part").select(*PART_COLUMNS))
 
 
 # --- binary splits ---------------------------------------------------------------
@@ -196,16 +199,16 @@ def best_binary_split(spark, sf):
 SCORE_SQL = {**fq.SQL_BASIC, **fq.SQL_LEXICAL, **fq.SQL_SENTENCE, **fq.SQL_PUNCT, **fq.SQL_CHARCLASS}
 SCORED_FEATURES = list(SCORE_SQL)
 STYLE_SQL = f"""{BASE}{',' + freq_cte('w', 'lwords')}{',' + freq_cte('a', 'atoks')}{fq.SENT_CTE},
-style AS (SELECT l.quality AS label, {', '.join(f'{e} AS {k}' for k, e in SCORE_SQL.items())}
+style AS (SELECT l.quality AS label, {', '.join(f'{exact(e)} AS {k}' for k, e in SCORE_SQL.items())}
   FROM toks t JOIN labels l ON l.doc_id = t.doc_id {fq.left('w', 'a', 'sl')})"""
 
 
 def style(spark, sf):
     """Labelled documents with the scored features; the labels prune the texts before featurising."""
     labels = load(spark, sf, "labels").select("doc_id", F.col("quality").alias("label"))
-    docs = spread(load(spark, sf, "documents").select("doc_id", "text").join(labels, "doc_id"), "doc_id")
+    docs = spread(load(spark, sf, "documents").select("doc_id", "text"), "doc_id").join(labels, "doc_id")
     feats = {**st.basic(), **st.lexical(), **st.sentence(), **st.punctuation(), **st.char_classes()}
-    return tidy(st.select_features(st.prepare(docs), ["label"], feats))
+    return st.select_features(st.prepare(docs), ["label"], feats)
 
 
 def chi_long(features) -> str:

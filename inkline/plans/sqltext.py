@@ -59,6 +59,12 @@ def r(e: str, digits: int = 6) -> str:
     return f"round(({e})::double, {digits}) + 0.0"
 
 
+def exact(e: str) -> str:
+    """An expression without the output rounding of ``r``."""
+    head, tail = r("|").split("|")
+    return e[len(head) : -len(tail)].join(("((", ")::double)")) if e.startswith(head) and e.endswith(tail) else e
+
+
 def big(e: str) -> str:
     return f"({e})::bigint"
 

@@ -22,7 +22,7 @@ def text_docs(spark, sf):
 def labelled(spark, sf, label: str = "quality"):
     """Documents with a binary label; the label table is the smaller side by far."""
     labels = load(spark, sf, "labels").select("doc_id", F.col(label).alias("label"))
-    return documents(spark, sf).select("doc_id", "text").join(labels, "doc_id")
+    return text_docs(spark, sf).join(labels, "doc_id")
 
 
 LABELLED = "SELECT d.doc_id, d.text, l.quality AS label FROM documents d JOIN labels l USING (doc_id)"

@@ -88,7 +88,7 @@ def train_test(spark, sf):
     labels = load(spark, sf, "labels").select("doc_id", F.col("quality").alias("label"))
     docs = labelled(spark, sf).drop("label")
     parts = split.stratified(labels, "doc_id", "label")
-    joined = spread(docs.join(parts, "doc_id"), "doc_id")
+    joined = docs.join(parts, "doc_id")
     return tuple(joined.filter(F.col("split") == k).drop("split") for k in ("train", "test"))
 
 
@@ -111,7 +111,7 @@ def nb_parts(spark, sf):
     """Split, term table (written once, read by vocabulary, weights and scoring), vocabulary and model."""
     labels = load(spark, sf, "labels").select("doc_id", F.col("quality").alias("label"))
     parts = cut(split.stratified(labels.join(documents(spark, sf).select("doc_id"), "doc_id"), "doc_id", "label"))
-    docs = spread(documents(spark, sf).select("doc_id", "text").join(parts.select("doc_id", "split"), "doc_id"), "doc_id")
+    docs = spread(documents(spark, sf).select("doc_id", "text"), "doc_id").join(parts.select("doc_id", "split"), "doc_id")
     terms = cut(tf.term_frequencies(docs, "doc_id", "text", V, ("split",)))
     train_terms, test_terms = (terms.filter(F.col("split") == k).drop("split") for k in ("train", "test"))
     train, test = (parts.filter(F.col("split") == k).select("doc_id", "label") for k in ("train", "test"))

@@ -20,20 +20,20 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Use every core on a table of few small files.
+    """Use every core on a scan with fewer splits than cores.
 
-    A table that already has work for every core is returned as it is, so at
-    scale this adds no exchange. Hash partitioning keeps a retried task's input
-    the same.
+    ``df`` is a plain scan, so counting its splits plans it but runs nothing.
+    A scan that has a split for every core is returned as it is, however few
+    its files are; one that is dealt anew holds less than a split's bytes per
+    core. Hash partitioning keeps a retried task's input the same.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    files = len(df._jdf.inputFiles())  # the length only: the paths of a large table stay in the JVM
-    return df if files >= 2 * cores else df.repartition(4 * cores, key)
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(4 * cores, key)
 
 
-def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Header CSV with a declared schema; quoted fields may hold line breaks."""
-    return spark.read.schema(schema).csv(path, header=True, multiLine=True, escape='"')
+def read_csv(spark: SparkSession, path: str, schema: str, multi_line: bool = True) -> DataFrame:
+    """Header CSV with a declared schema. Quoted fields may hold line breaks, which makes a file one task; without them, files are split."""
+    return spark.read.schema(schema).csv(path, header=True, multiLine=multi_line, escape='"')
 
 
 def strip_column_names(df: DataFrame) -> DataFrame:

@@ -193,6 +193,25 @@ def test_id3_unseen_value_follows_the_heaviest_branch(spark):
     assert trees.predict_id3(spark.createDataFrame([("zzz",)], "f string"), tree).first()["pred"] == 0
 
 
+def test_full_trees_fit_distinct_rows(spark):
+    rng = random.Random(5)
+    rows = [(a, b, c, rng.randrange(2)) for a in "pqr" for b in "xyz" for c in "uvw"]
+    df = spark.createDataFrame(rows, "f string, g string, h string, label int")
+    assert trees.predict_id3(df, trees.grow_categorical(df, ["f", "g", "h"])).filter("pred <> label").count() == 0
+    line = spark.createDataFrame([(float(i), i % 3 // 2) for i in range(8)], "x double, label int")
+    tree = trees.grow_cart(line, ["x"], [], [0, 1])
+    assert tree.filter("is_leaf and impurity > 0").count() == 0
+    assert trees.predict_cart(line, tree).filter("pred <> label").count() == 0
+
+
+def test_null_categories_and_steps_stay(spark):
+    df = spark.createDataFrame([("b",), (None,), ("a",)], "k string")
+    assert {r["k"]: r["c"] for r in encode.label_encode(df, "k", "c").collect()} == {"a": 0, "b": 1, None: None}
+    left = spark.createDataFrame([(3,), (None,)], "step int")
+    right = spark.createDataFrame([(1, 0.5)], "step int, loss double")
+    assert {r["step"]: r["step_matched"] for r in logs.asof_join(left, right, "step").collect()} == {3: 1, None: None}
+
+
 def test_scaling_of_constant_columns(spark):
     df = spark.createDataFrame([(1.0, 2.0), (1.0, 4.0)], "a double, b double")
     out = encode.standard_scale(df, encode.fit_standard(df, ["a", "b"])).collect()
