@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from .blocks import ROWS_PER_BLOCK, block_pairs
 
+ROWS_AT_ONCE = 64
+
 
 def assign(df: DataFrame, vector: str, centres: list[list[float]]) -> DataFrame:
     """Nearest centre (first on ties) and squared distance; centres are k constants of the plan."""
@@ -35,14 +37,21 @@ def silhouette_exact(df: DataFrame, id_col: str, vector: str, cluster: str, rows
     def fold(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
         if len(x) == 0 or len(y) == 0:
             return pd.DataFrame({"_i": [], "_own": [], "_c": [], "_s": [], "_n": []})
-        q = np.stack(y[vector].to_numpy()).astype("float64")
+        p, q = (np.stack(t[vector].to_numpy()).astype("float64") for t in (x, y))
         kinds, code = np.unique(y[cluster].to_numpy(), return_inverse=True)
-        sizes = np.bincount(code)
-        rows = []
-        for i, own, v in zip(x[id_col], x[cluster], x[vector]):
-            d = np.sqrt(((q - np.asarray(v, dtype="float64")) ** 2).sum(axis=1))
-            rows.append(pd.DataFrame({"_i": i, "_own": own, "_c": kinds, "_s": np.bincount(code, weights=d), "_n": sizes}))
-        return pd.concat(rows)
+        member = (code[:, None] == np.arange(len(kinds))).astype("float64")
+        norms, sums = (q * q).sum(axis=1), np.empty((len(p), len(kinds)))
+        for a in range(0, len(p), ROWS_AT_ONCE):
+            part = p[a : a + ROWS_AT_ONCE]
+            size = (part * part).sum(axis=1)[:, None] + norms
+            d = size - 2 * part @ q.T
+            # of near points the product keeps too few digits
+            i, j = np.nonzero(d <= 1e-6 * size)
+            d[i, j] = ((part[i] - q[j]) ** 2).sum(axis=1)
+            sums[a : a + len(part)] = np.sqrt(d) @ member
+        n = len(kinds)
+        return pd.DataFrame({"_i": x[id_col].repeat(n), "_own": x[cluster].repeat(n), "_c": np.tile(kinds, len(p)), "_s": sums.ravel(),
+                             "_n": np.tile(np.bincount(code), len(p))})
 
     data = df.select(id_col, vector, cluster)
     sums = block_pairs(data, data, id_col, id_col, fold, "_i long, _own int, _c int, _s double, _n long", rows_per_block)

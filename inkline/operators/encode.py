@@ -10,18 +10,32 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .ranking import add_per_block, ordered_blocks
+
 
 def label_encode(df: DataFrame, column: str, out: str) -> DataFrame:
-    """Codes 0, 1, ... in sorted order of the distinct values; NULL keeps a NULL code."""
-    codes = df.select(column).filter(F.col(column).isNotNull()).distinct().withColumn(
-        out, F.row_number().over(W.partitionBy(F.lit(0)).orderBy(column)) - 1)  # one row per category
+    """Codes 0, 1, ... in sorted order of the distinct values; NULL keeps a NULL code.
+
+    The distinct values are numbered inside range blocks, so no task holds all categories.
+    """
+    kinds = ordered_blocks(df.select(column).filter(F.col(column).isNotNull()).distinct(), column)
+    earlier = W.orderBy("_block").rowsBetween(W.unboundedPreceding, -1)  # one row per block
+    sizes = kinds.groupBy("_block").agg(F.count("*").alias("_n")).select("_block", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    inside = F.row_number().over(W.partitionBy("_block").orderBy(column))
+    codes = add_per_block(kinds.withColumn("_in", inside), sizes, []).select(column, (F.col("_before") + F.col("_in") - 1).cast("int").alias(out))
     return df.join(codes, column, "left")
 
 
-def one_hot(df: DataFrame, column: str, categories: list[str] | None = None) -> DataFrame:
-    """Indicator columns ``<column>_<category>``, the first category in sorted order dropped."""
+def one_hot(df: DataFrame, column: str, categories: list[str] | None = None, most: int = 1000) -> DataFrame:
+    """Indicator columns ``<column>_<category>``, the first category in sorted order dropped.
+
+    Each category is a column, so more than ``most`` of them are an error.
+    """
     if categories is None:
-        categories = sorted(r[0] for r in df.select(column).distinct().collect() if r[0] is not None)
+        found = df.select(column).filter(F.col(column).isNotNull()).distinct().limit(most + 1).collect()
+        if len(found) > most:
+            raise ValueError(f"{column} has more than {most} categories; use label_encode")
+        categories = sorted(r[0] for r in found)
     made = {f"{column}_{k}": F.when(F.col(column) == k, 1).otherwise(0) for k in categories[1:]}
     return df.withColumns(made).drop(column)
 
@@ -41,6 +55,18 @@ def standard_scale(df: DataFrame, fitted: dict) -> DataFrame:
     return df.withColumns({c: (F.col(c) - F.lit(mean[c])) / F.lit(std[c] or 1.0) for c in mean})
 
 
+def fit_vector(df: DataFrame, vector: str) -> dict[str, list[float]]:
+    """Mean and population deviation of each dimension of an array column; a constant dimension is divided by 1."""
+    per = df.select(F.posexplode(vector).alias("_d", "_x")).groupBy("_d").agg(F.avg("_x").alias("m"), F.stddev_pop("_x").alias("s"))
+    rows = per.orderBy("_d").collect()  # one row per dimension
+    return {"mean": [r["m"] for r in rows], "std": [r["s"] or 1.0 for r in rows]}
+
+
+def scale_vector(df: DataFrame, vector: str, fitted: dict[str, list[float]]) -> DataFrame:
+    stats = F.array(*[F.struct(F.lit(m).alias("m"), F.lit(s).alias("s")) for m, s in zip(fitted["mean"], fitted["std"])])
+    return df.withColumn(vector, F.zip_with(vector, stats, lambda x, f: (x - f["m"]) / f["s"]))
+
+
 def fit_minmax(df: DataFrame, columns: list[str]) -> dict:
     return _stats(df, columns, {"lo": F.min, "hi": F.max})
 

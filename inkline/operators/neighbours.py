@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from .blocks import ROWS_PER_BLOCK, block_pairs
 
+ROWS_AT_ONCE = 64  # bounds the candidates of one product, also where all distances are equal
+SLACK = 1e-9
+
 
 def _matrix(column: pd.Series) -> np.ndarray:
     return np.stack(column.to_numpy()).astype("float64")
@@ -20,14 +23,21 @@ def nearest(test: DataFrame, train: DataFrame, test_id: str, train_id: str, vect
     def fold(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
         if len(x) == 0 or len(y) == 0:
             return pd.DataFrame({"_t": [], "_i": [], "_y": [], "_d": []})
-        y = y.sort_values(train_id)
-        ids, labels = y[train_id].to_numpy(), y[label].to_numpy()
+        own, ids, labels = x[test_id].to_numpy(), y[train_id].to_numpy(), y[label].to_numpy()
         p, q = _matrix(x[vector]), _matrix(y[vector])
-        out = []
-        for row, own in zip(p, x[test_id].to_numpy()):
-            d = np.sqrt(((q - row) ** 2).sum(axis=1))
-            best = np.argsort(d, kind="stable")[:k]
-            out.append(pd.DataFrame({"_t": own, "_i": ids[best], "_y": labels[best], "_d": d[best]}))
+        norms, last, out = (q * q).sum(axis=1), min(k, len(q)) - 1, []
+        for a in range(0, len(p), ROWS_AT_ONCE):
+            part = p[a : a + ROWS_AT_ONCE]
+            size = (part * part).sum(axis=1)[:, None]
+            near = size + norms - 2 * part @ q.T
+            # the product is inexact: all that may belong to the k nearest are measured by their differences
+            within = np.partition(near, last, axis=1)[:, last][:, None] + SLACK * (size + norms.max())
+            i, j = np.nonzero(near <= within)
+            d = np.sqrt(((q[j] - part[i]) ** 2).sum(axis=1))
+            order = np.lexsort((ids[j], d, i))
+            i, j, d = i[order], j[order], d[order]
+            best = np.arange(len(i)) - np.searchsorted(i, i) < k
+            out.append(pd.DataFrame({"_t": own[a + i[best]], "_i": ids[j[best]], "_y": labels[j[best]], "_d": d[best]}))
         return pd.concat(out)
 
     found = block_pairs(test.select(test_id, vector), train.select(train_id, vector, label), test_id, train_id, fold,

@@ -11,9 +11,29 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..session import cut
+
 HASH_BUCKET_DIGITS = 3  # 4096 buckets, uniform because md5 is
 
 
+def ordered_blocks(df: DataFrame, *order: str) -> DataFrame:
+    """Rows in range partitions of their order, with the partition's number as ``_block``; written, so the numbers hold.
+
+    Windows then run inside a block, and what earlier blocks add is one row per key and block.
+    """
+    return cut(df.repartitionByRange(*order).withColumn("_block", F.spark_partition_id()))
+
+
+def add_per_block(rows: DataFrame, per: DataFrame, keys: list[str]) -> DataFrame:
+    """Adds the columns of ``per``, which has one row per key and block; NULL keys match."""
+    names = [*keys, "_block"]
+    per = per.withColumnsRenamed({k: f"_j_{k}" for k in names})
+    match = F.lit(True)
+    for k in names:
+        match = match & F.col(k).eqNullSafe(F.col(f"_j_{k}"))
+    return rows.join(per, match, "left").drop(*[f"_j_{k}" for k in names])
+
+
 def hash_order(id_col: str) -> Column:
     """Reproducible shuffle order: md5 of the id as text."""
     return F.md5(F.col(id_col).cast("string"))

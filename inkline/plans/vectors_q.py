@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import boost, cluster, neighbours, split
+from ..operators import boost, cluster, encode, neighbours, split
 from ..sources.tables import load
 from .registry import query, tidy
 from .scores_q import scored, with_scores
@@ -20,14 +20,21 @@ PARTS = """e AS (SELECT vec_id, embedding::double[] AS v, label, row_number() OV
 te AS (SELECT * FROM e WHERE rn <= round_even(n * 0.2::double, 0)), tr AS (SELECT * FROM e WHERE rn > round_even(n * 0.2::double, 0))"""
 
 
-@query("knn_classify", f"""WITH {PARTS}, d AS (SELECT te.vec_id, tr.label, row_number() OVER (PARTITION BY te.vec_id
-  ORDER BY list_distance(te.v, tr.v), tr.vec_id) AS k FROM te, tr),
+SCALED = """st AS (SELECT i, avg(x) AS m, stddev_pop(x) AS s FROM (SELECT unnest(v) AS x, unnest(range(len(v))) AS i FROM tr) GROUP BY i),
+sm AS (SELECT list(m ORDER BY i) AS m, list(CASE WHEN s > 0 THEN s ELSE 1 END ORDER BY i) AS s FROM st),
+tes AS (SELECT vec_id, label, list_transform(list_zip(v, m, s), lambda z: (z[1] - z[2]) / z[3]) AS u FROM te, sm),
+trs AS (SELECT vec_id, label, list_transform(list_zip(v, m, s), lambda z: (z[1] - z[2]) / z[3]) AS u FROM tr, sm)"""
+
+
+@query("knn_classify", f"""WITH {PARTS}, {SCALED}, d AS (SELECT te.vec_id, tr.label, row_number() OVER (PARTITION BY te.vec_id
+  ORDER BY list_distance(te.u, tr.u), tr.vec_id) AS k FROM tes te, trs tr),
 vt AS (SELECT vec_id, label, count(*) AS c FROM d WHERE k <= 3 GROUP BY ALL),
 p AS (SELECT vec_id, label, row_number() OVER (PARTITION BY vec_id ORDER BY c DESC, label) AS k FROM vt)
 SELECT p.vec_id, te.label::bigint AS label, p.label::bigint AS pred FROM p JOIN te USING (vec_id) WHERE k = 1""")
 def knn_classify(spark, sf):
     parts = split.random_split(vectors(spark, sf), "vec_id", 0.2)
-    test, train = (parts.filter(F.col("split") == k).drop("split") for k in ("test", "train"))
+    fitted = encode.fit_vector(parts.filter("split = 'train'"), "v")
+    test, train = (encode.scale_vector(parts.filter(F.col("split") == k), "v", fitted).drop("split") for k in ("test", "train"))
     train = train.withColumnRenamed("vec_id", "train_id")
     pred = neighbours.classify(test, train, "vec_id", "train_id", "v", "label", 3)
     return tidy(test.select("vec_id", "label").join(pred, "vec_id"))

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from inkline.operators import blocks, clean, cluster, curves, encode, ensemble, logs, metrics, neighbours, ranking, scoring, selection, split, trees
+from inkline.operators import blocks, clean, cluster, curves, encode, ensemble, logs, metrics, models, neighbours, ranking, scoring, selection, split, trees
 from inkline.plans import QUERIES
 from inkline.session import checkpoint_dir, cut
 from inkline.sources import tables
@@ -111,6 +111,68 @@ def test_ema_over_many_blocks(spark):
     assert got == pytest.approx(want, rel=1e-12)
 
 
+def test_ema_leaves_nulls_out(spark):
+    import pandas as pd
+
+    rng = random.Random(4)
+    xs = [None if rng.random() < 0.2 or i < 2 else rng.random() for i in range(400)]
+    df = spark.createDataFrame(list(enumerate(xs)), "step long, loss double").repartition(4)
+    got = [math.nan if r["ema"] is None else r["ema"] for r in logs.ema_smooth(df, "step", "loss", 20).orderBy("step").collect()]
+    assert got == pytest.approx(pd.Series(xs, dtype=float).ewm(span=20, adjust=True).mean().tolist(), rel=1e-9, nan_ok=True)
+
+
+def test_logs_in_blocks_match_one_pass(spark):
+    rng = random.Random(6)
+    rows = [("hot" if i < 400 else None if i < 430 else "b", i, rng.random(), 5 / (i % 200 + 1) + rng.random()) for i in range(500)]
+    df = spark.createDataFrame(rows, "run string, step long, train_loss double, val_loss double").repartition(7)
+    for by in (["run"], None):
+        runs = {}
+        for run, step, train, val in rows:
+            runs.setdefault(run if by else "all", []).append((step, train, val))
+        got = {r["step"]: r for r in logs.loss_deltas(df, by=by).collect()}
+        stops = {(r["run"] if by else "all"): r for r in logs.early_stop(df, patience=12, by=by).collect()}
+        assert set(stops) == set(runs)
+        for run, log in runs.items():
+            best, since, n, stop = None, 0, 0, None
+            for i, (step, train, val) in enumerate(log):
+                assert got[step]["gap"] == val - train
+                assert got[step]["improvement"] == (log[i - 1][2] - val if i else None)
+            for step, _, val in log:
+                n += 1
+                if best is None or val < best[1]:
+                    best, since = (step, val), 0
+                else:
+                    since += 1
+                if since >= 12:
+                    stop = step
+                    break
+            r = stops[run]
+            assert (r["best_step"], r["best_loss"], r["stop_step"], r["steps_run"]) == (*best, stop, n)
+
+
+def test_codes_over_many_categories(spark):
+    values = [f"c{i * 7919 % 3000}" for i in range(3000)]
+    df = spark.createDataFrame([(v,) for v in values + values[:50]], "k string").repartition(6)
+    want = {v: i for i, v in enumerate(sorted(values))}
+    got = encode.label_encode(df, "k", "code").collect()
+    assert len(got) == 3050 and all(r["code"] == want[r["k"]] for r in got)
+    with pytest.raises(ValueError):
+        encode.one_hot(df, "k")
+
+
+def test_patience_picks_the_best_round(spark):
+    assert models.rounds_with_patience([3.0, 2.0, 2.5, 2.5, 1.0], 2) == (2, True)
+    assert models.rounds_with_patience([3.0, 2.0, 2.5, 1.0, 1.5], 3) == (4, False)
+    rng = random.Random(7)
+    rows = [(float(int(x > 0) if rng.random() < 0.8 else rng.randrange(2)), [x, rng.random()]) for x in (rng.uniform(-1, 1) for _ in range(300))]
+    data = spark.createDataFrame(rows, "label double, v array<double>").select("label", models.array_to_vector("v").alias("features"))
+    train, held = cut(data.limit(200)), cut(data.limit(100))
+    long, short = (models.boosted_trees(rounds=n, maxDepth=2).fit(train) for n in (6, 3))
+    assert [t.toDebugString for t in long.trees[:3]] == [t.toDebugString for t in short.trees] or [t.numNodes for t in long.trees[:3]] == [t.numNodes for t in short.trees]
+    model = models.boost_with_patience(train, held, rounds=8, patience=2, maxDepth=2)
+    assert sum(t.numNodes > 1 for t in model.trees) > 0
+
+
 def test_asof_join(spark):
     left = spark.createDataFrame([(i, float(i)) for i in (0, 5, 9, 10, 31)], "step long, a double")
     right = spark.createDataFrame([(i, float(-i)) for i in (3, 9, 20)], "step long, b double")
@@ -141,6 +203,14 @@ def test_knn_in_small_blocks(spark):
         assert got[i] == min(set(votes), key=lambda c: (-votes.count(c), c))
 
 
+def test_knn_ties_go_to_the_smallest_id(spark):
+    rows = [(i, [1.0, 2.0], i % 2) for i in range(200)] + [(200 + i, [1.0 + i, 2.0], 0) for i in range(1, 40)]
+    df = spark.createDataFrame(rows, "tid long, v array<double>, label int")
+    test = spark.createDataFrame([(1, [1.0, 2.0])], "id long, v array<double>")
+    near = neighbours.nearest(test, df, "id", "tid", "v", "label", 3, rows_per_block=50).collect()
+    assert sorted(r["tid"] for r in near) == [0, 1, 2] and all(r["distance"] == 0 for r in near)
+
+
 def test_silhouette_in_small_blocks(spark):
     x, y, df = points(spark, 50)
     d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1))
