@@ -9,9 +9,10 @@ handled in the first list that holds both. Lists are cut into blocks of
 computes cosines in double precision as matrix products, and returns a link
 count per vector and the edges that connect it, never the pairs.
 
-Pivots are vectors themselves, the first in md5 order of their id: one to
-``PER_PIVOT`` vectors, MIN_PIVOTS to MAX_PIVOTS. Vectors with equal components
-are one class.
+Pivots are vectors themselves, for each width the first in md5 order of their
+id: one to ``PER_PIVOT`` vectors of the width, MIN_PIVOTS to MAX_PIVOTS. A width
+of at most MIN_PIVOTS vectors needs none: one list holds it whole. Vectors with
+equal components are one class.
 """
 
 from __future__ import annotations
@@ -20,12 +21,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut
 from .graph import components
-from .sample import first_by_hash
+from .sample import MARGIN, RANGE
 
 COSINE = 0.95
 NEAREST, SHARED = 10, 3
@@ -51,13 +52,17 @@ def rows_of(column: pa.Array) -> np.ndarray:
 
 def describe(pivots, nearest: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Adds the numbers of the nearest pivots of the same width to (node, copies, vec, width)."""
+        """Adds the numbers of the nearest pivots of the same width to (node, copies, vec, width); -width where the width has no pivots."""
         for batch in batches:
             width = batch.column(3).to_numpy(zero_copy_only=False)
             out: list = [None] * batch.num_rows
             for d in np.unique(width):
                 mine = np.flatnonzero(width == d)
-                numbers, points = pivots.value.get(int(d), (np.zeros(0, np.int32), np.zeros((0, int(d)))))
+                if int(d) not in pivots.value:
+                    for i in mine.tolist():
+                        out[i] = [-int(d)]
+                    continue
+                numbers, points = pivots.value[int(d)]
                 for part in np.array_split(mine, len(mine) // 1024 + 1):
                     x = unit(rows_of(batch.column(2).take(pa.array(part))))
                     k = min(nearest, len(numbers))
@@ -120,10 +125,17 @@ def meet(cosine: float, shared: int):
     return run
 
 
-def choose(classes: DataFrame, count: int) -> dict[int, tuple[np.ndarray, np.ndarray]]:
-    """Unit pivots by width, with their numbers."""
-    pivots = min(MAX_PIVOTS, max(MIN_PIVOTS, -(-count // PER_PIVOT)))
-    rows = first_by_hash(classes.select("node", "vec", "width"), F.col("node"), pivots, count).collect()
+def choose(classes: DataFrame) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """Unit pivots by width, with their numbers; none for a width of at most MIN_PIVOTS vectors."""
+    sizes = classes.groupBy("width").agg(F.count("*").alias("n")).filter(F.col("n") > MIN_PIVOTS)
+    most = F.least(F.lit(MAX_PIVOTS), F.greatest(F.lit(MIN_PIVOTS), F.ceil(F.col("n") / PER_PIVOT)))
+    text = F.col("node").cast("string")
+    # of larger widths a hash first leaves about MARGIN times as many, so that the window of a width is bounded
+    drawn = classes.select("node", "vec", "width").join(sizes.select("width", "n", most.alias("most")), "width")
+    drawn = drawn.filter((F.col("n") <= MARGIN * F.col("most")) | (F.pmod(F.xxhash64(text), F.lit(RANGE)) < F.lit(RANGE) * MARGIN * F.col("most") / F.col("n")))
+    nth = F.row_number().over(Window.partitionBy("width").orderBy(F.md5(text.cast("binary")), text))
+    rows = drawn.withColumn("nth", nth).filter("nth <= most").select("width", "nth", "vec").collect()
+    rows.sort(key=lambda r: (r["width"], r["nth"]))
     out = {}
     for d in sorted({r["width"] for r in rows}):
         mine = [(i, r["vec"]) for i, r in enumerate(rows) if r["width"] == d]
@@ -149,14 +161,14 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, id_col: str = "vec_
     count = firsts.count()
     to_links = None
     if count > 1:
-        pivots = vectors.sparkSession.sparkContext.broadcast(choose(firsts, count))
+        pivots = vectors.sparkSession.sparkContext.broadcast(choose(firsts))
         kind = firsts.schema["vec"].dataType.simpleString()
-        described = cut(firsts.mapInArrow(describe(pivots, NEAREST), f"node long, copies long, vec {kind}, near array<int>").filter("size(near) > 0"))
+        described = cut(firsts.mapInArrow(describe(pivots, NEAREST), f"node long, copies long, vec {kind}, near array<int>"))
         # rare pivots first: the place of a pivot in that order is the number of its list
-        sizes = described.select(F.explode("near").alias("p")).groupBy("p").agg(F.count("*").alias("n")).collect()  # one row per pivot
+        sizes = described.select(F.explode("near").alias("p")).filter("p >= 0").groupBy("p").agg(F.count("*").alias("n")).collect()  # one row per pivot
         order = {r["p"]: k for k, r in enumerate(sorted(sizes, key=lambda r: (r["n"], r["p"])))}
-        place = F.lit([order.get(i, -1) for i in range(max(order) + 1)])
-        ranked = described.withColumn("_all", F.sort_array(F.transform("near", lambda p: F.element_at(place, p + 1))))
+        place = F.lit([order.get(i, -1) for i in range(max(order, default=0) + 1)])
+        ranked = described.withColumn("_all", F.sort_array(F.transform("near", lambda p: F.when(p < 0, p).otherwise(F.element_at(place, p + 1)))))
         ranked = ranked.withColumn("posted", F.slice("_all", F.lit(1), F.greatest(F.lit(1), F.size("_all") - (SHARED - 1)))).drop("_all")
         held = ranked.select(F.explode("posted").alias("at"), "node").groupBy("at").agg(F.count("*").alias("_n"))
         lists = cut(held.filter("_n > 1").withColumn("_of", F.ceil(F.col("_n") / BLOCK).cast("int")))

@@ -261,6 +261,30 @@ def test_vectors(spark):
     assert pivots.near_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
 
 
+def test_vectors_of_rare_widths(spark):
+    """Each width has its own recall: a common one, rare ones beside it, one of a single vector."""
+    rng = np.random.default_rng(8)
+    rows = []
+    counts = {16: 4000, 24: 400, 12: 129, 8: 40, 5: 2, 3: 1} | dict.fromkeys(range(30, 40), 4)
+    for width, n in counts.items():
+        base = rng.standard_normal((max(1, n // 12), width))
+        rows += [(len(rows) + i, list(map(float, base[i % len(base)] + 0.05 * rng.standard_normal(width)))) for i in range(n)]
+    got = {r.vec_id: r for r in pivots.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    assert len(got) == len(rows)
+    for width in counts:
+        ids = np.array([i for i, v in rows if len(v) == width])
+        x = pivots.unit(np.array([v for _, v in rows if len(v) == width]))
+        near = x @ x.T >= 0.95
+        np.fill_diagonal(near, False)
+        found = np.array([got[i].n_links for i in ids.tolist()])
+        assert (found <= near.sum(axis=1)).all()
+        assert found.sum() >= 0.97 * near.sum() and (width == 3 or near.sum() > 0), width
+        if len(ids) <= pivots.MIN_PIVOTS:
+            root = group(ids.tolist(), [(int(ids[a]), int(ids[b])) for a, b in zip(*np.nonzero(near), strict=True) if a < b])
+            assert (found == near.sum(axis=1)).all()
+            assert all(got[i].component_id == root[i] and got[i].kept == (root[i] == i) for i in ids.tolist())
+
+
 def test_archives(spark, tmp_path):
     pages = [(i, f"http://h/{i}\r\nX: y" if i % 5 else None, "<p>" + "word " * (i % 6) * 40) for i in range(60)] + [(60, "u", None), (61, "u", ""), (62, "u", "é" * 70_000), (None, "u", "alone"), (3, "u", "<p>" + "word " * 3 * 40)]
     df = spark.createDataFrame(pages, "page_id long, url string, html string").repartition(3)
