@@ -55,7 +55,7 @@ class TextScorer:
                    boosted=GBTClassificationModel.load(f"{path}/boosted"), **meta)
 
 
-def fit_scorer(df: DataFrame, id_col: str = "doc_id", text: str = "text", label: str = "label", k: int = 40, trees: int = 100, rounds: int = 500, depth: int = 10, boost: dict | None = None) -> tuple[TextScorer, DataFrame]:
+def fit_scorer(df: DataFrame, id_col: str = "doc_id", text: str = "text", label: str = "label", k: int = 40, trees: int = 100, rounds: int = 500, depth: int = 10, patience: int = 30, boost: dict | None = None) -> tuple[TextScorer, DataFrame]:
     """Fit on train, stop boosting and pick the ensemble weight on val; returns the scorer and the held-out test rows.
 
     Features are written once and read by every later step.
@@ -70,11 +70,11 @@ def fit_scorer(df: DataFrame, id_col: str = "doc_id", text: str = "text", label:
     selected, scores = [r["feature"] for r in ranked], {r["feature"]: r["score"] for r in ranked}
     scaler = encode.fit_standard(train, selected)
     ready = models.assemble(encode.standard_scale(data, scaler), selected).select(id_col, label, "split", "features")
-    ready = ready.withColumn("is_val", F.col("split") == "val")
-    fit_rows = ready.filter(F.col("split") != "test")
-    forest = models.random_forest(label, trees=trees, depth=depth).fit(ready.filter(F.col("split") == "train"))
-    boosted = models.boosted_trees(label, rounds=rounds, validation="is_val", **(boost or {})).fit(fit_rows)
+    ready = cut(ready)
+    fit_rows, held_out = ready.filter(F.col("split") == "train"), ready.filter(F.col("split") == "val")
+    forest = models.random_forest(label, trees=trees, depth=depth).fit(fit_rows)
+    boosted = models.boost_with_patience(fit_rows, held_out, label, rounds=rounds, patience=patience, **(boost or {}))
     scorer = TextScorer(selected, scores, scaler, forest, boosted, 0.5)
-    val = scorer.probabilities(ready.filter(F.col("split") == "val"), [id_col, label])
+    val = scorer.probabilities(held_out, [id_col, label])
     scorer.weight = ensemble.best_weight(val, label, "p1", "p2")
     return scorer, scorer.probabilities(ready.filter(F.col("split") == "test"), [id_col, label])

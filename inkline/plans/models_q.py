@@ -76,13 +76,13 @@ def tfidf_frame(spark, sf, size):
 @query("bagging")
 def bagging(spark, sf):
     train, test = halves(tfidf_frame(spark, sf, 5000))
-    return evaluate(models.bagging(depth=10).fit(train), test)
+    return evaluate(models.bagging().fit(train), test)
 
 
 @query("adaboost")
 def adaboost(spark, sf):
     train, test = halves(style_frame(spark, sf))
-    model = boost.fit(train, "features", "label", rounds=10)
+    model = boost.fit(train, "features", "label")
     return tidy(metrics.binary_metrics(boost.predict(test, model)))
 
 
@@ -118,9 +118,9 @@ def linear_regression(spark, sf):
 def svm_rbf(spark, sf):
     parts = split.random_split(vectors(spark, sf), "vec_id", 0.2)
     gamma = models.gamma_scale(parts, "v", 64)
-    lifted = cut(models.rbf_features(parts, "v", "features", 64, gamma, 128).select("label", "split", "features"))
+    lifted = cut(models.rbf_features(parts, "v", "features", 64, gamma).select("label", "split", "features"))
     train, test = halves(lifted)
-    model = models.rbf_svm(train.count(), max_iter=15).fit(train)
+    model = models.rbf_svm(train.count()).fit(train)
     out = model.transform(test).select("label", F.col("prediction").cast("int").alias("pred"))
     return tidy(metrics.classification_report(out))
 
@@ -157,7 +157,7 @@ def silhouette(spark, sf):
 @query("mlp")
 def mlp(spark, sf):
     train, test = halves(style_frame(spark, sf))
-    return evaluate(models.perceptron(len(SCORED_FEATURES), max_iter=50).fit(train), test)
+    return evaluate(models.perceptron(len(SCORED_FEATURES)).fit(train), test)
 
 
 def hybrid_frame(spark, sf, size=10000):
@@ -178,11 +178,8 @@ def hybrid_vector(spark, sf):
 
 @query("mlp_hybrid")
 def mlp_hybrid(spark, sf):
-    frame = cut(hybrid_frame(spark, sf, 2000))
-    chosen = models.top_features(frame.filter("split = 'train'"), "tfidf", "label", "terms", 100)
-    data = models.assemble(chosen.transform(frame), ["terms", "style"], "features").select("doc_id", "label", "split", "features")
-    train, test = halves(cut(data))
-    return evaluate(models.perceptron(100 + len(SCORED_FEATURES), max_iter=50).fit(train), test)
+    train, test = halves(cut(hybrid_frame(spark, sf).select("doc_id", "label", "split", F.col("hybrid").alias("features"))))
+    return evaluate(models.perceptron(train.first()["features"].size).fit(train), test)
 
 
 @query("tune_gbt")
@@ -190,25 +187,25 @@ def tune_gbt(spark, sf):
     train, _ = halves(style_frame(spark, sf))
     folds = split.k_folds(train.select("doc_id", "label"), "doc_id", "label", 3).select("doc_id", "fold")
     data = cut(train.join(folds, "doc_id"))
-    _, trials = tuning.tune(data, "label", "features", "fold", 3, trials=2, rounds=(5,))
+    _, trials = tuning.tune(data, "label", "features", "fold", 3)
     rows = [(i, p["maxDepth"], float(p["stepSize"]), p["maxIter"], float(m)) for i, (p, m) in enumerate(trials)]
     return tidy(spark.createDataFrame(rows, "trial int, max_depth int, step_size double, rounds int, mcc double"))
 
 
-def small_scorer(spark, sf):
-    return scoring.fit_scorer(labelled(spark, sf), trees=20, rounds=5, depth=6)
+def full_scorer(spark, sf):
+    return scoring.fit_scorer(labelled(spark, sf))
 
 
 @query("score_batch")
 def score_batch(spark, sf):
-    scorer, _ = small_scorer(spark, sf)
+    scorer, _ = full_scorer(spark, sf)
     return tidy(scorer.transform(text_docs(spark, sf)))
 
 
 @query("score_stream")
 def score_stream(spark, sf):
     """All documents arrive as files, are scored by one availableNow run and read back."""
-    scorer, _ = small_scorer(spark, sf)
+    scorer, _ = full_scorer(spark, sf)
     base = f"{checkpoint_dir(spark)}/stream-{uuid.uuid4().hex}"
     text_docs(spark, sf).write.parquet(f"{base}/in")
     ss.score_stream(ss.text_stream(spark, f"{base}/in"), scorer, f"{base}/out", f"{base}/state").awaitTermination()

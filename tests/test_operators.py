@@ -343,3 +343,47 @@ def test_block_pairs_cover_every_pair_once(spark):
 
 def test_queries_read_declared_tables():
     assert len(QUERIES) > 120
+
+
+def test_registered_models_use_the_full_settings(spark, sf, monkeypatch):
+    """What each query hands to its estimator, caught at fit."""
+    from pyspark.ml.classification import MultilayerPerceptronClassifier, OneVsRest, RandomForestClassifier
+
+    from inkline.operators import boost, models, scoring, tuning
+    from inkline.plans import models_q as q
+
+    class Seen(Exception):
+        pass
+
+    def caught(*args, **kwargs):
+        raise Seen(args, kwargs)
+
+    def call(name):
+        with pytest.raises(Seen) as e:
+            getattr(q, name)(spark, sf)
+        return e.value.args
+
+    for kind in (MultilayerPerceptronClassifier, OneVsRest, RandomForestClassifier, tuning.CrossValidator):
+        monkeypatch.setattr(kind, "fit", caught)
+    monkeypatch.setattr(boost, "fit", caught)
+    (forest, _), _ = call("bagging")
+    assert (forest.getNumTrees(), forest.getMaxDepth()) == (50, 30)
+    _, named = call("adaboost")
+    assert named.get("rounds", 50) == 50
+    (machine, lifted), _ = call("svm_rbf")
+    assert machine.getClassifier().getMaxIter() == 50 and lifted.first()["features"].size == 256
+    (net, _), _ = call("mlp")
+    assert net.getMaxIter() == 100
+    (net, rows), _ = call("mlp_hybrid")
+    frame = q.hybrid_frame(spark, sf).first()
+    assert net.getMaxIter() == 100 and net.getLayers()[0] == rows.first()["features"].size == frame["hybrid"].size > 120
+    (search, _), _ = call("tune_gbt")
+    maps = [{p.name: v for p, v in m.items()} for m in search.getEstimatorParamMaps()]
+    assert len(maps) == 25 and all(100 <= m["maxIter"] <= 500 for m in maps)
+    (forest, _), _ = call("score_batch")
+    assert (forest.getNumTrees(), forest.getMaxDepth()) == (100, 10)
+    monkeypatch.setattr(scoring.models, "random_forest", lambda *a, **k: type("Forest", (), {"fit": lambda self, rows: None})())
+    monkeypatch.setattr(models, "boost_with_patience", caught)
+    for name in ("score_batch", "score_stream"):
+        _, named = call(name)
+        assert (named["rounds"], named["patience"]) == (500, 30)
