@@ -5,9 +5,12 @@ hashed words and word pairs. A multinomial logistic regression over the licence
 families and an unknown class is trained on the templates, on pieces of them
 with words left out and with strange words around, and on a bounded sample of
 the corpus's own lines as unknown ones (those that resemble a template left out).
-Its temperature is calibrated on examples that training didn't see. A predicted
-family is confirmed where enough of the window's three-word sequences, or of a
-template's, are shared; the rest is reported as unconfirmed.
+Its temperature is calibrated on examples that training didn't see. A window that
+is probably not unknown is compared with the templates of all families, as it may
+name several and the classifier's probability then goes to few of them. A family is
+confirmed where enough of the window's three-word sequences, or of a template's, are
+shared and no other family's template explains them better; each confirmed family
+is a span of its own. A window without any is reported once, as unconfirmed.
 """
 
 from __future__ import annotations
@@ -75,6 +78,8 @@ BUCKETS = 1 << 15
 WINDOW, STRIDE = 48, 24
 MAX_UNKNOWN = 3000  # lines of the corpus that training may see
 MIN_PROBABILITY, MIN_SHARED, GRAM = 0.5, 0.6, 3
+IS_MARK = np.zeros(256, bool)
+IS_MARK[list(b".,;:")] = True
 SPAN = "array<struct<first_word:int,n_words:int,family:string,probability:double,shared:double,confirmed:boolean>>"
 
 
@@ -85,9 +90,19 @@ def features(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (words % np.uint64(BUCKETS)).astype(np.int64), (pair % np.uint64(BUCKETS)).astype(np.int64)
 
 
+def bare(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """The text with a blank for the mark that ends a word, as a licence's name may end a sentence or stand inside one; word numbers stay."""
+    blank = wd.IS_SPACE[data]
+    ends, begins = np.ones(len(data) + 1, bool), np.ones(len(data) + 1, bool)
+    ends[1 : len(data)], begins[1 : len(data)] = blank[1:], blank[:-1]
+    ends[offsets] = begins[offsets] = True
+    return np.where(IS_MARK[data] & ends[1:] & ~begins[:-1], np.uint8(32), data)
+
+
 def hashed(text: str) -> np.ndarray:
     raw = np.frombuffer(text.encode(), np.uint8)
-    return wd.word_hashes(raw, np.array([0, len(raw)]))[0]
+    at = np.array([0, len(raw)])
+    return wd.word_hashes(bare(raw, at), at)[0]
 
 
 def grams(words: np.ndarray) -> np.ndarray:
@@ -103,6 +118,29 @@ def template_grams() -> dict[str, list[np.ndarray]]:
     return {f: [grams(hashed(t)) for t in ts] for f, ts in TEMPLATES.items()}
 
 
+def confirmed(mine: np.ndarray, families: dict[str, list[np.ndarray]], probability: dict[str, float]) -> dict[str, float]:
+    """Families with a template that shares enough with the window, and how much.
+
+    A template is passed over if what it shares is part of what another family's
+    matching template shares (the Lesser GPL's line holds sequences of the GPL's), or
+    the same and the other family is more probable. Beside the most probable family
+    others need two shared sequences, as many notices hold a phrase like "all rights reserved".
+    """
+    first = max(probability, key=probability.__getitem__)
+    found = []
+    for f, templates in families.items():
+        for t in templates:
+            common = np.intersect1d(mine, t, assume_unique=True)
+            if len(common) >= (1 if f == first else 2) and len(common) / min(len(mine), len(t)) >= MIN_SHARED:
+                found.append((f, common, len(common) / min(len(mine), len(t))))
+    out: dict[str, float] = {}
+    for f, common, share in found:
+        rank = (len(common), probability[f])
+        if not any(g != f and (len(other), probability[g]) > rank and np.isin(common, other).all() for g, other, _ in found):
+            out[f] = max(share, out.get(f, 0.0))
+    return out
+
+
 def vector(words: np.ndarray) -> np.ndarray:
     """All buckets of a window; the last word has no pair inside it."""
     a, b = features(words)
@@ -193,7 +231,7 @@ def scan(model):
                 block, at = data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
                 spans: list[list[dict]] = [[] for _ in range(j - i)]
                 lines, row = line_offsets(block, at)
-                words, counts = wd.word_hashes(block, lines)
+                words, counts = wd.word_hashes(bare(block, lines), lines)
                 if len(words):
                     a, b = features(words)
                     starts = np.cumsum(counts) - counts
@@ -208,14 +246,16 @@ def scan(model):
                     z = (z / np.sqrt(2 * n - 1)[:, None] + m["offsets"]) / m["temperature"]
                     p = np.exp(z - z.max(axis=1, keepdims=True))
                     p /= p.sum(axis=1, keepdims=True)
-                    best = p.argmax(axis=1)
+                    best = 1 + p[:, 1:].argmax(axis=1)
                     begins = np.searchsorted(starts, at[:-1])
                     begins = np.concatenate((starts, [len(words)]))[begins]
-                    for k in np.flatnonzero((best > 0) & (p[np.arange(len(p)), best] >= MIN_PROBABILITY)).tolist():
-                        family, r = names[best[k]], int(row[line[k]])
-                        shared = shared_part(grams(words[first[k] : last[k]]), known, family)
-                        spans[r].append({"first_word": int(first[k] - begins[r]), "n_words": int(n[k]), "family": family,
-                                         "probability": float(p[k, best[k]]), "shared": shared, "confirmed": shared >= MIN_SHARED})
+                    for k in np.flatnonzero(1 - p[:, 0] >= MIN_PROBABILITY).tolist():
+                        mine, r = grams(words[first[k] : last[k]]), int(row[line[k]])
+                        sure = confirmed(mine, known, dict(zip(names[1:], p[k, 1:].tolist(), strict=True)))
+                        guess = names[best[k]]
+                        for family, shared in (sure or {guess: shared_part(mine, known, guess)}).items():
+                            spans[r].append({"first_word": int(first[k] - begins[r]), "n_words": int(n[k]), "family": family,
+                                             "probability": float(p[k, names.index(family)]), "shared": shared, "confirmed": family in sure})
                 kind = pa.list_(pa.struct([("first_word", pa.int32()), ("n_words", pa.int32()), ("family", pa.string()), ("probability", pa.float64()),
                                            ("shared", pa.float64()), ("confirmed", pa.bool_())]))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(spans, kind)], names=["doc_id", "spans"])
@@ -236,7 +276,7 @@ def scan_licences(docs: DataFrame, lines: list[str] | None = None) -> DataFrame:
 
 
 def summary(scanned: DataFrame) -> DataFrame:
-    """Per document: its confirmed families in order of name, how many windows were confirmed and how many not."""
+    """Per document: its confirmed families in order of name, how many spans were confirmed and how many not."""
     sure = F.filter("spans", lambda s: s["confirmed"])
     return scanned.select("doc_id", F.array_join(F.array_sort(F.array_distinct(F.transform(sure, lambda s: s["family"]))), ",").alias("licences"),
                           F.size(sure).cast("long").alias("n_confirmed"), (F.size("spans") - F.size(sure)).cast("long").alias("n_unconfirmed"))

@@ -340,6 +340,20 @@ def test_licences(spark, docs, nothing):
     assert licences.scan_licences(nothing).count() == 0 and licences.scan_licences(docs).count() == docs.count()
 
 
+def test_licences_of_two_families(spark):
+    """A line may name several families; a template that another family's explains adds none."""
+    lines = {"Licensed under the MIT License or the Apache License, Version 2.0.": "Apache-2.0,MIT",
+             "Licensed under the Apache License, Version 2.0 or released under the MIT License, at your option.": "Apache-2.0,MIT",
+             "Released under the BSD 3-Clause License or the Mozilla Public License, version 2.0.": "BSD,MPL-2.0"}
+    lines["Released under the MIT License, the ISC License, or the Apache License, Version 2.0; choose one."] = "Apache-2.0,ISC,MIT"
+    lines |= {t: f for f, ts in licences.TEMPLATES.items() for t in ts}
+    rows = [(i, "river stone walks under light\n" + t) for i, t in enumerate(lines)]
+    unknown = ["river stone light under walks", "the poet walks in the light", "under a stone there is light"] * 20
+    scanned = licences.scan_licences(spark.createDataFrame(rows, "doc_id long, text string"), unknown)
+    got = {r.doc_id: r.licences for r in licences.summary(scanned).collect()}
+    assert [(t, got[i]) for i, (t, want) in enumerate(lines.items()) if got[i] != want] == []
+
+
 def test_queries_are_registered():
     import __spark_entry__ as entry
 
