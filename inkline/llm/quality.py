@@ -129,7 +129,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", max_labelled
     sample = (labels.select(F.col("doc_id").cast("long").alias("_id"), F.col(label).cast("int").alias("_label"))
               .filter(F.col("_id").isNotNull() & F.col("_label").isNotNull() & ~held_out(F.col("_id")))
               .groupBy("_id").agg(F.max("_label").alias("_label")))
-    sample = first_by_hash(sample, F.col("_id"), max_labelled, labels.count())
+    sample = first_by_hash(sample, F.col("_id"), max_labelled, sample.count())
     marked = docs.select("doc_id", "text").join(F.broadcast(sample), F.col("doc_id") == F.col("_id"), "left").select("_label", "text")
     passed = cut(marked.mapInArrow(gather, "label int, found binary, seen array<long>"))
     counts = passed.filter("seen is not null").select(F.posexplode("seen").alias("at", "n")).groupBy("at").agg(F.sum("n").alias("n"))

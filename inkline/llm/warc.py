@@ -138,9 +138,10 @@ def write_archives(pages: DataFrame, folder: str, min_revisit_bytes: int = 0, fi
                  .agg(F.min("page_id").alias("_first"), F.count("*").alias("_n")).filter("_n > 1").drop("_n"))
     again = (F.col("_size") >= min_revisit_bytes) & (F.col("_first") < F.col("page_id"))
     told = rows.join(groups, "_sha1", "left").select("page_id", "url", "html", F.when(again, F.col("_first")).alias("refers_to"))
-    small = rows.filter(F.col("_size").between(1, SAMPLE_BYTES)).select("page_id", "url", "html")
-    sample = first_by_hash(small, F.col("page_id"), SAMPLE_RECORDS, pages.count()).collect()
-    dictionary = train([record(r["page_id"], r["url"], r["html"].encode(), None) for r in sample])
+    # a longer page gives its beginning to the dictionary's sample
+    filled = rows.filter("_size > 0").select("page_id", "url", F.substring("html", 1, SAMPLE_BYTES).alias("html"))
+    sample = first_by_hash(filled, F.col("page_id"), SAMPLE_RECORDS, filled.count()).collect()
+    dictionary = train([record(r["page_id"], r["url"], r["html"].encode()[:SAMPLE_BYTES], None) for r in sample])
     return cut(told.mapInArrow(write_task(folder, dictionary, file_bytes), MANIFEST))
 
 

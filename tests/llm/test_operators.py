@@ -325,6 +325,18 @@ def test_shards(docs, nothing, tmp_path):
     assert sharding.shard(nothing, str(tmp_path / "n")).count() == 0
 
 
+def test_samples_are_counted_on_candidates(spark, tmp_path, monkeypatch):
+    """Rows that can't be sampled don't thin the sample."""
+    labels = spark.range(20_000).selectExpr("id as doc_id", "case when id % 50 = 0 then cast(id % 100 = 0 as int) end as quality")
+    some = spark.range(20_000).filter("id % 50 = 0").selectExpr("id as doc_id", "concat('word ', id) as text")
+    assert len(quality.fit(some, labels, max_labelled=40, rank=4).vectors) == 40
+    seen = []
+    monkeypatch.setattr(warc, "train", lambda records: seen.extend(records))
+    html = "case when id < 40 then repeat('<p>', 12000) when id < 80 then repeat('é', 30000) when id < 120 then concat('page ', id) else '' end"
+    warc.write_archives(spark.range(4000).selectExpr("id as page_id", "concat('u', id) as url", f"{html} as html"), str(tmp_path / "s"))
+    assert len(seen) == 120 and max(map(len, seen)) < warc.SAMPLE_BYTES + 2000
+
+
 def test_licences(spark, docs, nothing):
     rng = random.Random(8)
     noise = lambda n: " ".join(rng.choice(["river", "stone", "light", "under", "walks"]) for _ in range(n)) + "."
