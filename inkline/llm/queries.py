@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import licences, line_rules, mixing, near_dup, pieces, pivots, quality, sharding, url_lists, warc
+from . import licences, line_rules, mixing, near_dup, pieces, pivots, quality, runs, sharding, url_lists, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -80,3 +80,8 @@ def op9(spark, sf):
 @query("op10_pieces")
 def op10(spark, sf):
     return pieces.digests(pieces.tokenise(table(spark, sf, "documents"), public_tokenizers.path("piece_bpe_32k.model")))
+
+
+@query("op11_periodic_runs", runs.ORACLE)
+def op11(spark, sf):
+    return runs.digests(runs.periodic_runs(runs.with_rounds(table(spark, sf, "documents"))))
