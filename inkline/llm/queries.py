@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import licences, line_rules, mixing, near_dup, pieces, pivots, quality, runs, sharding, url_lists, warc
+from . import chat, licences, line_rules, mixing, near_dup, pieces, pivots, quality, runs, sharding, url_lists, vector_codes, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -85,3 +85,15 @@ def op10(spark, sf):
 @query("op11_periodic_runs", runs.ORACLE)
 def op11(spark, sf):
     return runs.digests(runs.periodic_runs(runs.with_rounds(table(spark, sf, "documents"))))
+
+
+@query("op12_vector_codes", vector_codes.ORACLE)
+def op12(spark, sf):
+    coded, books = vector_codes.compress(table(spark, sf, "embeddings"))
+    return vector_codes.with_label_error(coded).select(
+        "vec_id", "code", "error", "label_error", F.lit(vector_codes.digest(books)).alias("codebooks_sha256"))
+
+
+@query("op13_chat_format", chat.ORACLE)
+def op13(spark, sf):
+    return chat.digests(chat.format_conversations(chat.with_planted(spark, table(spark, sf, "conversations"))))
