@@ -195,7 +195,9 @@ class Block:
             before, back = few_words(self.back, len(self.codes) - i, len(self.codes) - i - q)
             still = on | back
             found.append(self.settle(i[~still], q[~still], after[~still], before[~still]))
-            pending.append(np.stack([i[still], q[still]]))
+            i, q = i[still], q[still]
+            inside = self.owner(i) == self.owner(i + q)  # a pair across two documents can't make a run
+            pending.append(np.stack([i[inside], q[inside]]))
             held += pending[-1].shape[1]
             if held >= PENDING:
                 index = index or self.indexes()
