@@ -190,12 +190,12 @@ WITH given AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL SELECT {PLANTED}, 0, 'user', {quote(PLANTED_TEXT)} UNION ALL SELECT {PLANTED}, 1, 'assistant', {quote(PLANTED_TEXT)}),
 ordered AS (
-  SELECT *, row_number() OVER w AS at, lag(role) OVER w AS before, lead(role) OVER w AS after FROM given
+  SELECT *, row_number() OVER w AS place, lag(role) OVER w AS before, lead(role) OVER w AS after FROM given
   WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)),
-judged AS (SELECT *, CASE WHEN at = 1 THEN {first} ELSE {follows} END AND (after IS NOT NULL OR role IN ({ends})) AS fits FROM ordered),
+judged AS (SELECT *, CASE WHEN place = 1 THEN {first} ELSE {follows} END AND (after IS NOT NULL OR role IN ({ends})) AS fits FROM ordered),
 texts AS (
-  SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY at) AS lines, bool_and(fits) AS valid,
-         coalesce(string_agg(text, '' ORDER BY at) FILTER (role IN ({learnt})), '') AS loss, sum({marks} + length({broken('text')})) AS formatted_chars
+  SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY place) AS lines, bool_and(fits) AS valid,
+         coalesce(string_agg(text, '' ORDER BY place) FILTER (role IN ({learnt})), '') AS loss, sum({marks} + length({broken('text')})) AS formatted_chars
   FROM judged GROUP BY conv_id)
 SELECT conv_id, n_turns, sha256(lines) AS turns_sha256, length(loss)::BIGINT AS loss_chars, sha256(loss) AS loss_sha256,
        formatted_chars::BIGINT AS formatted_chars, valid
