@@ -376,7 +376,29 @@ def feat_sentiment(spark, sf):
 
 
 # --- Arrow-backed columns, wide catalogues --------------------------------------
-@query("feat_mtld")
+def zero_state(place: str) -> str:
+    return f"{{'ended': 0::BIGINT, 'start': 0::BIGINT, 'length': 0::BIGINT, 'kinds': 0::BIGINT, 'place': ({place})::BIGINT}}"
+
+
+def stretches_sql(places: str) -> str:
+    """Stretches of a list of states that carry each token's place before."""
+    grown, limit = "s.kinds + (t.place < s.start)::BIGINT", f"{sequential.THRESHOLD}::DOUBLE"
+    folded = (f"list_reduce(list_prepend({zero_state('-1')}, {places}), lambda s, t: CASE WHEN {grown} < {limit} * (s.length + 1) "
+              "THEN {'ended': s.ended + 1, 'start': s.start + s.length + 1, 'length': 0::BIGINT, 'kinds': 0::BIGINT, 'place': t.place} "
+              f"ELSE {{'ended': s.ended, 'start': s.start, 'length': s.length + 1, 'kinds': {grown}, 'place': t.place}} END)")
+    return f"(SELECT z.ended + CASE WHEN z.length > 0 THEN (1 - z.kinds / z.length::DOUBLE) / (1 - {limit}) ELSE 0 END FROM (SELECT {folded} AS z))"
+
+
+MTLD_CTE = f""",
+tk AS (SELECT doc_id, unnest(lwords) AS w, unnest(range(len(lwords))) AS i, len(lwords) AS n FROM toks),
+pl AS (SELECT doc_id, i, n, coalesce(lag(i) OVER v, -1) AS a, n - 1 - coalesce(lead(i) OVER v, n) AS b FROM tk WINDOW v AS (PARTITION BY doc_id, w ORDER BY i)),
+ml AS (SELECT doc_id, any_value(n) AS n, count(*) FILTER (a < 0) AS kinds, list({zero_state('a')} ORDER BY i) AS ahead, list({zero_state('b')} ORDER BY i DESC) AS back
+       FROM pl GROUP BY doc_id),
+mk AS (SELECT doc_id, n, kinds, {stretches_sql('ahead')} AS ka, {stretches_sql('back')} AS kb FROM ml),
+mt AS (SELECT doc_id, CASE WHEN n < {sequential.LEAST} THEN kinds ELSE (CASE WHEN ka > 0 THEN n / ka ELSE n END + CASE WHEN kb > 0 THEN n / kb ELSE n END) / 2 END AS m FROM mk)"""
+
+
+@query("feat_mtld", plain_sql({"mtld": r("coalesce(mt.m, 0)")}, MTLD_CTE, left("mt")))
 def feat_mtld(spark, sf):
     words = F.lower(tx.joined(tx.word_tokens(F.col("text"))))
     return docs(spark, sf).select("doc_id", r6(sequential.mtld(words)).alias("mtld"))
@@ -392,6 +414,23 @@ def feature_vector_56(spark, sf):
     return tidy(st.vector_56(docs(spark, sf), ["doc_id"]))
 
 
+ALL_CTE = (REP_CTE + "," + freq_cte("ch", "string_split(text, '')") + SENT_CTE + WLEN_CTE + SYL_CTE + TRI_CTE + COHESION_CTE + MTLD_CTE)
+ALL_JOINS = left("w", "b", "t3", "ch", "sl", "wl", "al", "sa", "sy", "c3", "st", "co", "mt")
+SQL_56 = {
+    **SQL_BASIC, **SQL_LEXICAL, **SQL_SENTENCE, **SQL_WORDLEN, **SQL_READABILITY, **SQL_PUNCT, **SQL_PHRASES, **SQL_ENTROPY, **SQL_REPETITION, **SQL_PASSIVE,
+    **SQL_LEXICONS, **SQL_STRUCTURE, **SQL_CHARCLASS, **SQL_SUFFIX, "yules_k": SQL_LEXICAL["yules_k_types"], "mtld": r("coalesce(mt.m, 0)"),
+    "lexical_cohesion": r("coalesce(co.m, 0)"), "burstiness": r("""CASE WHEN w.v >= 2 THEN (sqrt(w.v * w.s2 - w.n * w.n) / w.v - w.n / w.v)
+      / (sqrt(w.v * w.s2 - w.n * w.n) / w.v + w.n / w.v) ELSE 0 END"""),
+}
+CHECKED_56 = [name for name in st.NAMES_56 if name != "compression_ratio"]
+
+
+@query("feature_vector_checked", plain_sql({k: f"({SQL_56[k]})::DOUBLE" for k in CHECKED_56}, ALL_CTE, ALL_JOINS))
+def feature_vector_checked(spark, sf):
+    """The assembled vector without its codec column, which SQL can't express."""
+    return tidy(st.vector_56(docs(spark, sf), ["doc_id"]).select("doc_id", *CHECKED_56))
+
+
 def prefix(p: str, feats: dict) -> dict:
     return {f"{p}_{k}": v for k, v in feats.items()}
 
