@@ -339,3 +339,18 @@ def fit(table: DataFrame, edges: list[list[float]], p: Params = Params(), patien
         base, trees, history = fit_by_levels(table, len(edges), base_margin(positive, train), p, patience)
     held_out = patience and not np.isnan(history[0])
     return Boosted(edges, base, trees[: int(np.argmin(history))] if held_out else trees, p, history)
+
+
+def root_splits(table: DataFrame, edges: list[list[float]], p: Params, names: tuple[str, ...]) -> list[tuple]:
+    """(feature, threshold, gain, left value, right value) of each feature's best first split in the first round."""
+    positive, train, _ = class_counts(table)
+    columns = np.arange(len(edges))
+    hist, _ = level_sums(table, base_margin(positive, train), [], Tree(), [0], columns, p, 0, binned.few_tasks(table))
+    gains, left, total = split_gains(hist, p)
+    out = []
+    for f, name in enumerate(names):
+        b = int(np.round(gains[0, f], 9).argmax())
+        if np.isfinite(gains[0, f, b]):
+            sides = left[0, f, b], total[0] - left[0, f, b]
+            out.append((name, edges[f][b], float(gains[0, f, b]), *(float(newton(s[0], s[1], p) * p.rate) for s in sides)))
+    return out

@@ -9,13 +9,23 @@ from __future__ import annotations
 import json
 from dataclasses import dataclass
 
-from pyspark.ml.classification import GBTClassificationModel, RandomForestClassificationModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import stylometry as st
 from ..session import cut
-from . import encode, ensemble, models, selection, split
+from . import binned, booster, encode, ensemble, forest, selection, split
+
+
+def fit_forest(rows: DataFrame, x: str, width: int, label: str, id_col: str, **settings) -> forest.Forest:
+    edges = binned.fit_edges(rows, x, width)
+    return forest.fit(cut(binned.pack(rows, x, label, id_col, edges)), edges, **settings)
+
+
+def fit_boosted(rows: DataFrame, x: str, width: int, label: str, id_col: str, held_out: Column, patience: int | None = 50, **settings) -> booster.Boosted:
+    """``held_out`` is 1 for the rows whose loss stops the rounds, else 0; bins are cut on the others."""
+    edges = binned.fit_edges(rows.filter(held_out == 0), x, width)
+    return booster.fit(cut(binned.pack(rows, x, label, id_col, edges, held_out)), edges, booster.Params(**settings), patience)
 
 
 @dataclass
@@ -23,19 +33,19 @@ class TextScorer:
     selected: list[str]
     scores: dict[str, float]
     scaler: dict
-    forest: RandomForestClassificationModel
-    boosted: GBTClassificationModel
+    forest: forest.Forest
+    boosted: booster.Boosted
     weight: float
 
     def features(self, df: DataFrame, keep: list[str]) -> DataFrame:
+        """``keep`` and the selected, scaled features as an array ``_x``."""
         vec = st.vector_56(df, keep).select(*keep, *self.selected)
-        return models.assemble(encode.standard_scale(vec, self.scaler), self.selected)
+        return encode.standard_scale(vec, self.scaler).select(*keep, F.array(*self.selected).alias("_x"))
 
     def probabilities(self, featured: DataFrame, keep: list[str]) -> DataFrame:
-        """Each model is evaluated once per row."""
-        one = self.forest.setPredictionCol("").setRawPredictionCol("_ra").setProbabilityCol("_pa").transform(featured)
-        two = self.boosted.setPredictionCol("").setRawPredictionCol("_rb").setProbabilityCol("_pb").transform(one)
-        return two.select(*keep, models.positive_probability("_pa").alias("p1"), models.positive_probability("_pb").alias("p2"))
+        """``p1``, the forest's vote share, and ``p2``, the boosted trees' probability."""
+        both = featured.select(*keep, self.forest.score("_x").alias("_s"), self.boosted.probability("_x").alias("p2"))
+        return both.select(*keep, F.col("_s.vote_share").alias("p1"), "p2")
 
     def transform(self, df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
         keep = [id_col, text]
@@ -43,19 +53,18 @@ class TextScorer:
         return ensemble.prediction_record(ensemble.score(scored, "p1", "p2", self.weight), "p1", "p2", text, id_col)
 
     def save(self, spark: SparkSession, path: str) -> None:
-        self.forest.write().overwrite().save(f"{path}/forest")
-        self.boosted.write().overwrite().save(f"{path}/boosted")
-        meta = {"selected": self.selected, "scores": self.scores, "scaler": self.scaler, "weight": self.weight}
-        spark.createDataFrame([(json.dumps(meta),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/meta")
+        parts = {"selected": self.selected, "scores": self.scores, "scaler": self.scaler, "weight": self.weight,
+                 "forest": self.forest.to_dict(), "boosted": self.boosted.to_dict()}
+        spark.createDataFrame([(k, json.dumps(v)) for k, v in parts.items()], "part string, value string").coalesce(1).write.mode("overwrite").parquet(path)
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> "TextScorer":
-        meta = json.loads(spark.read.text(f"{path}/meta").first()["value"])
-        return cls(forest=RandomForestClassificationModel.load(f"{path}/forest"),
-                   boosted=GBTClassificationModel.load(f"{path}/boosted"), **meta)
+        parts = {r["part"]: json.loads(r["value"]) for r in spark.read.parquet(path).collect()}
+        return cls(**{**parts, "forest": forest.Forest.from_dict(parts["forest"]), "boosted": booster.Boosted.from_dict(parts["boosted"])})
 
 
-def fit_scorer(df: DataFrame, id_col: str = "doc_id", text: str = "text", label: str = "label", k: int = 40, trees: int = 100, rounds: int = 500, depth: int = 10, patience: int = 30, boost: dict | None = None) -> tuple[TextScorer, DataFrame]:
+def fit_scorer(df: DataFrame, id_col: str = "doc_id", text: str = "text", label: str = "label", k: int = 40, trees: int = forest.TREES, rounds: int = 500,
+               depth: int = forest.DEPTH, patience: int = 30, **boost) -> tuple[TextScorer, DataFrame]:
     """Fit on train, stop boosting and pick the ensemble weight on val; returns the scorer and the held-out test rows.
 
     Features are written once and read by every later step.
@@ -69,12 +78,11 @@ def fit_scorer(df: DataFrame, id_col: str = "doc_id", text: str = "text", label:
     ranked = selection.select_k_best(table, names, k).collect()  # k rows
     selected, scores = [r["feature"] for r in ranked], {r["feature"]: r["score"] for r in ranked}
     scaler = encode.fit_standard(train, selected)
-    ready = models.assemble(encode.standard_scale(data, scaler), selected).select(id_col, label, "split", "features")
-    ready = cut(ready)
-    fit_rows, held_out = ready.filter(F.col("split") == "train"), ready.filter(F.col("split") == "val")
-    forest = models.random_forest(label, trees=trees, depth=depth).fit(fit_rows)
-    boosted = models.boost_with_patience(fit_rows, held_out, label, rounds=rounds, patience=patience, **(boost or {}))
-    scorer = TextScorer(selected, scores, scaler, forest, boosted, 0.5)
-    val = scorer.probabilities(held_out, [id_col, label])
+    ready = cut(encode.standard_scale(data, scaler).select(id_col, label, "split", F.array(*selected).alias("_x")))
+    trained, held_out = F.col("split") == "train", F.col("split") == "val"
+    grown = fit_forest(ready.filter(trained), "_x", k, label, id_col, trees=trees, depth=depth)
+    boosted = fit_boosted(ready.filter(trained | held_out), "_x", k, label, id_col, held_out.cast("int"), patience, rounds=rounds, **boost)
+    scorer = TextScorer(selected, scores, scaler, grown, boosted, 0.5)
+    val = scorer.probabilities(ready.filter(held_out), [id_col, label])
     scorer.weight = ensemble.best_weight(val, label, "p1", "p2")
     return scorer, scorer.probabilities(ready.filter(F.col("split") == "test"), [id_col, label])

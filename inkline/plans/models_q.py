@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from ..functions import lexicons as lx, stylometry as st, text as tx
-from ..operators import boost, encode, metrics, models, scoring, selection as sel, split, tuning
+from ..operators import binned, boost, booster, encode, forest, metrics, models, scoring, selection as sel, split, tuning
 from ..session import checkpoint_dir, cut
 from ..sources.tables import load
 from ..streaming import score_stream as ss
@@ -49,20 +49,100 @@ def decision_tree(spark, sf):
     return tidy(models.importance_table(model, best, spark))
 
 
+def array_frame(spark, sf):
+    """The style frame with its features as an array column ``x``."""
+    return style_frame(spark, sf).withColumn("x", models.vector_to_array("features"))
+
+
 @query("random_forest")
 def random_forest(spark, sf):
-    train, test = halves(style_frame(spark, sf))
-    model = models.random_forest().fit(train)
-    p = models.scored(model, test, ["doc_id", "label"])
-    return tidy(p.join(models.vote_share(model, test, ["doc_id"]), "doc_id"))
+    train, test = halves(array_frame(spark, sf))
+    model = scoring.fit_forest(train, "x", len(SCORED_FEATURES), "label", "doc_id")
+    out = test.select("doc_id", "label", model.score("x").alias("s"))
+    return tidy(out.select("doc_id", "label", F.col("s.leaf_share").alias("p"), (F.col("s.vote_share") > 0.5).cast("int").alias("pred"), "s.vote_share"))
 
 
 @query("gbt")
 def gbt(spark, sf):
-    frame = style_frame(spark, sf)
-    train, test = halves(frame)
-    fold = F.conv(F.substring(F.md5(F.col("doc_id").cast("string")), 1, 6), 16, 10).cast("long") % 8
-    return evaluate(models.boosted_trees(rounds=20, validation="is_val").fit(train.withColumn("is_val", fold == 0)), test)
+    """500 rounds at most, stopped by the loss on an eighth of the training rows; metrics on the test rows."""
+    train, test = halves(array_frame(spark, sf))
+    model = scoring.fit_boosted(train, "x", len(SCORED_FEATURES), "label", "doc_id", eighth(F.col("doc_id")))
+    return tidy(metrics.binary_metrics(test.select(F.col("label").cast("int").alias("label"), (model.probability("x") >= 0.5).cast("int").alias("pred"))))
+
+
+def eighth(id_col):
+    """1 for the rows of an md5 eighth."""
+    return (F.conv(F.substring(F.md5(id_col.cast("string")), 1, 6), 16, 10).cast("long") % 8 == 0).cast("int")
+
+
+FLAG_FEATURES = ("l_quantity", "l_discount", "l_tax")
+
+
+def flag_blocks(spark, sf):
+    """Lines with few distinct values per feature, so that bins are values; class 1 are the returned ones."""
+    items = load(spark, sf, "lineitem").select(
+        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("key"), F.array(*FLAG_FEATURES).alias("x"), (F.col("l_returnflag") == "R").cast("int").alias("label"))
+    edges = binned.fit_edges(items, "x", len(FLAG_FEATURES))
+    return cut(binned.pack(items, "x", "label", "key", edges)), edges
+
+
+CUTS_SQL = """WITH items AS (SELECT row_number() OVER () AS rid, l_orderkey * 8 + l_linenumber AS key, l_quantity::DOUBLE AS q, l_discount::DOUBLE AS d, l_tax::DOUBLE AS t,
+  (l_returnflag = 'R')::INT AS y FROM lineitem),
+long AS (SELECT rid, y, unnest(['l_quantity', 'l_discount', 'l_tax']) AS feature, unnest([q, d, t]) AS x FROM items)"""
+
+
+@query("boost_root_split", CUTS_SQL + f""",
+base AS (SELECT sum(y)::DOUBLE / count(*) AS p FROM items),
+g AS (SELECT feature, x, sum(round((p - y) * {booster.UNIT})) / {booster.UNIT} AS g, sum(round(p * (1 - p) * {booster.UNIT})) / {booster.UNIT} AS h
+      FROM long, base GROUP BY feature, x),
+c AS (SELECT feature, x, sum(g) OVER w AS gl, sum(h) OVER w AS hl, sum(g) OVER f AS gt, sum(h) OVER f AS ht, max(x) OVER f AS top FROM g
+      WINDOW w AS (PARTITION BY feature ORDER BY x), f AS (PARTITION BY feature)),
+s AS (SELECT feature, x, gl, hl, gt - gl AS gr, ht - hl AS hr,
+        (greatest(abs(gl) - 0.1, 0) ** 2 / (hl + 1) + greatest(abs(gt - gl) - 0.1, 0) ** 2 / (ht - hl + 1) - greatest(abs(gt) - 0.1, 0) ** 2 / (ht + 1)) / 2 - 0.1 AS gain
+      FROM c WHERE x < top AND hl >= 3 AND ht - hl >= 3)
+SELECT feature, round(x, 6) AS threshold, round(gain, 6) + 0.0 AS gain,
+       round(-sign(gl) * greatest(abs(gl) - 0.1, 0) / (hl + 1) * 0.05, 6) + 0.0 AS left_value,
+       round(-sign(gr) * greatest(abs(gr) - 0.1, 0) / (hr + 1) * 0.05, 6) + 0.0 AS right_value
+FROM s QUALIFY row_number() OVER (PARTITION BY feature ORDER BY round(gain, 9) DESC, x) = 1""")
+def boost_root_split(spark, sf):
+    """The first split of each feature in the first round of boosting, with its Newton leaves."""
+    table, edges = flag_blocks(spark, sf)
+    p = booster.Params(row_share=1.0, column_share=1.0)
+    return tidy(spark.createDataFrame(booster.root_splits(table, edges, p, FLAG_FEATURES), "feature string, threshold double, gain double, left_value double, right_value double"))
+
+
+def forest_sql(trees: int, seed: int = 42) -> str:
+    """A row's draws in a tree: a splitmix hash of key and tree, read as a uniform number, against the Poisson distribution."""
+    def wrapped(x: str) -> str:
+        return f"(({x}) % 18446744073709551616::UHUGEINT)::UBIGINT"
+
+    def times(x: str, by: int) -> str:
+        return wrapped(f"({x})::UHUGEINT * {by}::UHUGEINT")
+
+    starts = [(seed * 1_000_003 + t) * 0x9E3779B97F4A7C15 % (1 << 64) for t in range(trees)]
+    drawn = [f"SELECT {t} AS tree, rid, y, {wrapped(f'key::UHUGEINT + {start}::UHUGEINT')} AS z0 FROM items" for t, start in enumerate(starts)]
+    cumulative = ", ".join(repr(float(c)) for c in forest.POISSON)
+    return CUTS_SQL + f""",
+z0 AS ({" UNION ALL ".join(drawn)}),
+z1 AS (SELECT tree, rid, y, {times("xor(z0, z0 >> 30)", 0xBF58476D1CE4E5B9)} AS z FROM z0),
+z2 AS (SELECT tree, rid, y, {times("xor(z, z >> 27)", 0x94D049BB133111EB)} AS z FROM z1),
+w AS (SELECT tree, rid, y, len(list_filter([{cumulative}]::DOUBLE[], lambda c: c <= (xor(z, z >> 31) >> 11)::DOUBLE / 9007199254740992)) AS w FROM z2),
+v AS (SELECT tree, feature, x, w.y, sum(w) AS n FROM w JOIN long USING (rid) GROUP BY ALL),
+p AS (SELECT tree, feature, x, coalesce(sum(n) FILTER (y = 0), 0) AS n0, coalesce(sum(n) FILTER (y = 1), 0) AS n1 FROM v GROUP BY ALL),
+c AS (SELECT tree, feature, x, (sum(n0) OVER o)::BIGINT AS left_0, (sum(n1) OVER o)::BIGINT AS left_1, (sum(n0) OVER f)::BIGINT AS all_0, (sum(n1) OVER f)::BIGINT AS all_1,
+        max(x) OVER f AS top FROM p WINDOW o AS (PARTITION BY tree, feature ORDER BY x), f AS (PARTITION BY tree, feature)),
+s AS (SELECT *, (left_0 ** 2 + left_1 ** 2) / (left_0 + left_1) + ((all_0 - left_0) ** 2 + (all_1 - left_1) ** 2) / (all_0 + all_1 - left_0 - left_1)
+        - (all_0 ** 2 + all_1 ** 2) / (all_0 + all_1) AS gain FROM c WHERE x < top AND left_0 + left_1 >= 5 AND all_0 + all_1 - left_0 - left_1 >= 5)
+SELECT tree::BIGINT AS tree, feature, round(x, 6) AS threshold, round(gain, 6) + 0.0 AS gain, left_0, left_1, all_0, all_1
+FROM s QUALIFY row_number() OVER (PARTITION BY tree, feature ORDER BY round(gain, 9) DESC, x) = 1"""
+
+
+@query("forest_root_split", forest_sql(4))
+def forest_root_split(spark, sf):
+    """The best first split of every feature in each of four trees' bootstraps, all thresholds tried."""
+    table, edges = flag_blocks(spark, sf)
+    rows = forest.root_splits(table, edges, 4, FLAG_FEATURES)
+    return tidy(spark.createDataFrame(rows, "tree int, feature string, threshold double, gain double, left_0 long, left_1 long, all_0 long, all_1 long"))
 
 
 def tfidf_frame(spark, sf, size):
@@ -184,12 +264,13 @@ def mlp_hybrid(spark, sf):
 
 @query("tune_gbt")
 def tune_gbt(spark, sf):
-    train, _ = halves(style_frame(spark, sf))
+    """25 trials on 3 folds; ``stopped_at`` is the rung that ended a trial, 0 if none did."""
+    train, _ = halves(array_frame(spark, sf))
     folds = split.k_folds(train.select("doc_id", "label"), "doc_id", "label", 3).select("doc_id", "fold")
     data = cut(train.join(folds, "doc_id"))
-    _, trials = tuning.tune(data, "label", "features", "fold", 3)
-    rows = [(i, p["maxDepth"], float(p["stepSize"]), p["maxIter"], float(m)) for i, (p, m) in enumerate(trials)]
-    return tidy(spark.createDataFrame(rows, "trial int, max_depth int, step_size double, rounds int, mcc double"))
+    _, trials = tuning.tune(data, "x", len(SCORED_FEATURES), "label", "doc_id", "fold")
+    rows = [(t["trial"], t["depth"], t["rate"], t["rounds"], t["best_rounds"], t["stopped_at"] or 0, t["mcc"]) for t in trials]
+    return tidy(spark.createDataFrame(rows, "trial int, max_depth int, step_size double, rounds int, best_rounds int, stopped_at int, mcc double"))
 
 
 def full_scorer(spark, sf):
