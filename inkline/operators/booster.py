@@ -329,10 +329,12 @@ def fit_by_levels(table: DataFrame, width: int, base: float, p: Params, patience
 def fit(table: DataFrame, edges: list[list[float]], p: Params = Params(), patience: int | None = 50) -> Boosted:
     """Boost on the rows of fold TRAIN until ``patience`` rounds pass without a lower loss on fold HELD_OUT; the best rounds are kept.
 
-    Without held-out rows or patience all rounds are fitted. ``table`` comes from
+    Without held-out rows or patience all rounds are fitted; without training rows none is. ``table`` comes from
     ``binned.pack`` and is read many times, so hand in a written one.
     """
     positive, train, n = class_counts(table)
+    if not train:
+        return Boosted(edges, base_margin(0, 0), [], p, [])
     if n <= LOCAL_ROWS:
         base, trees, history = fit_in_one_task(table, p, patience)
     else:

@@ -28,7 +28,7 @@ from .booster import LocalRun, Params
 LEARNING_RATE, ROUNDS, SHARES, LEAF_HESSIAN, GAIN, L1, L2, DEPTHS = (0.01, 0.2), (100, 500, 50), (0.7, 0.95), (1, 7), (0.0, 0.3), (0.0, 0.5), (0.5, 2.0), (4, 10)
 PATIENCE, STARTUP = 20, 5
 MAX_ROWS = 200_000  # rows that the search looks at; a bound, not a share
-RUNGS = (25, 50, 100, 200, 500)
+RUNGS = (100, 200, 500)  # no trial is judged before the fewest rounds that one may have
 STATE = "trial int, fold int, done int, ended boolean, mcc double, best int, state binary"
 
 
