@@ -196,3 +196,85 @@ def test_tables_without_rows(spark):
     table = cut(binned.pack(df, "x", "y", "id", edges))
     assert edges == [[], []] and booster.fit(table, edges, booster.Params(rounds=2)).margin(np.zeros((1, 2), np.uint8)).tolist() == [0.0]
     assert forest.fit(table, edges, trees=2, depth=2).trees[0].value == [0.0]
+
+
+# --- exact binary trees -----------------------------------------------------------
+
+def brute_tree(rows, classes, path="root", out=None):
+    """Nodes of the fully grown tree by trying every cut of every feature: path -> (feature, cut, gini, counts)."""
+    out = {} if out is None else out
+
+    def gini(part):
+        n = [sum(r[3] == c for r in part) for c in classes]
+        return sum(n) - sum(v * v for v in n) / sum(n) if part else 0.0
+
+    counts = tuple(sum(r[3] == c for r in rows) for c in classes)
+    tried = []
+    if sum(c > 0 for c in counts) > 1:
+        for pos, f in enumerate(("p", "q")):
+            known = [r for r in rows if r[pos] is not None]
+            values = sorted({r[pos] for r in known})
+            for a, b in zip(values, values[1:]):
+                cut_ = (a + b) / 2
+                left, right = [r for r in known if r[pos] <= cut_], [r for r in known if r[pos] > cut_]
+                tried.append((round((gini(left) + gini(right)) / len(known), 12), pos, cut_, None))
+        known = [r for r in rows if r[2] is not None]
+        for v in sorted({r[2] for r in known}):
+            left, right = [r for r in known if r[2] == v], [r for r in known if r[2] != v]
+            if right:
+                tried.append((round((gini(left) + gini(right)) / len(known), 12), 2, v, v))
+    if not tried:
+        out[path] = (None, None, None, counts)
+        return out
+    g, pos, cut_, _ = min(tried, key=lambda t: (t[0], t[1], t[2]))
+    out[path] = (("p", "q", "s")[pos], cut_, g, counts)
+    goes = [r[pos] is not None and (r[pos] == cut_ if pos == 2 else r[pos] <= cut_) for r in rows]
+    brute_tree([r for r, left in zip(rows, goes) if left], classes, path + "/L", out)
+    brute_tree([r for r, left in zip(rows, goes) if not left], classes, path + "/R", out)
+    return out
+
+
+@pytest.mark.parametrize("local,spread", [(1 << 17, 1 << 11), (1 << 17, 40), (60, 20)])
+def test_cart_matches_every_cut_tried(spark, monkeypatch, local, spread):
+    from inkline.operators import cart
+
+    monkeypatch.setattr(cart, "LOCAL_ROWS", local)
+    monkeypatch.setattr(cart, "SPREAD_ROWS", spread)
+    rng = random.Random(3)
+    rows = [(rng.choice([None, 1.0, 2.0, 3.0, rng.random()]), 0.5 if i % 3 == 0 else round(rng.gauss(0, 1), 2), rng.choice(["a", "b", "c", None]), rng.choice("ANR"))
+            for i in range(150)]
+    df = spark.createDataFrame(rows, "p double, q double, s string, label string").repartition(3)
+    nodes, enc = cart.grow(df, ["p", "q"], ["s"], ["A", "N", "R"])
+    want = brute_tree(rows, "ANR")
+    got = {r.node_id: (r.feature, r.threshold if r.value is None else r.value, r.score, tuple(r.counts)) for r in nodes.collect()}
+    assert set(got) == set(want)
+    for k, (f, cut_, g, counts) in want.items():
+        assert got[k][0] == f and got[k][3] == counts and (f is None or (got[k][1] == pytest.approx(cut_) and got[k][2] == pytest.approx(g)))
+    pred = cart.predict(df, nodes, enc)
+    wrong = pred.filter("pred <> label").count()
+    mixed_ = sum(sum(c) - max(c) for f, _, _, c in want.values() if f is None)
+    assert wrong == mixed_
+
+
+def test_cart_without_rows_and_with_one_class(spark):
+    from inkline.operators import cart
+
+    schema = "x double, k string, label string"
+    for rows, n in (([], 0), ([(1.0, "a", "A"), (2.0, None, "A")], 2)):
+        nodes, enc = cart.grow(spark.createDataFrame(rows, schema), ["x"], ["k"], ["A", "N"])
+        shown = cart.show(nodes, enc).collect()
+        assert len(shown) == 1 and shown[0].is_leaf and shown[0].n == n and shown[0].distribution == {"A": n, "N": 0}
+
+
+def test_bin_bounds_hold_for_every_cut_inside():
+    from inkline.operators import cart
+
+    rng = np.random.default_rng(2)
+    for _ in range(200):
+        before, inside, after = rng.integers(0, 6, (3, 3))
+        total = before + inside + after
+        bound = cart.bin_bounds(before, inside, total)
+        for s in np.ndindex(*(inside + 1)):
+            left = before + np.array(s)
+            if 0 < left.sum() < total.sum() and inside.sum() > 1:
+                assert cart.split_gini(left, total) >= bound - 1e-9
