@@ -278,3 +278,54 @@ def test_bin_bounds_hold_for_every_cut_inside():
             left = before + np.array(s)
             if 0 < left.sum() < total.sum() and inside.sum() > 1:
                 assert cart.split_gini(left, total) >= bound - 1e-9
+
+
+# --- boosted stumps over terms -----------------------------------------------------
+
+def boosted_by_hand(x, y, rounds):
+    """(term, threshold, error, alpha) per round on a dense matrix, every cut of every column tried."""
+    w, out = np.full(len(y), 1 / len(y)), []
+    for _ in range(rounds):
+        tried = []
+        for t in range(x.shape[1]):
+            values = sorted(set(x[:, t]))
+            for a, b in zip(values, values[1:]):
+                left = x[:, t] <= (a + b) / 2
+                cost = 0.0
+                for side in (left, ~left):
+                    n = w[side].sum()
+                    cost += n - sum(w[side & (y == c)].sum() ** 2 for c in (0, 1)) / n
+                tried.append((round(cost, 12), f"t{t:02d}", (a + b) / 2, t))
+        _, name, cut_, t = min(tried)
+        left = x[:, t] <= cut_
+        vote = [int(w[side & (y == 1)].sum() > w[side & (y == 0)].sum()) for side in (left, ~left)]
+        wrong = np.where(left, vote[0], vote[1]) != y
+        error = w[wrong].sum()
+        alpha = math.log((1 - error) / error)
+        out.append((name, cut_, error, alpha))
+        w = w * np.where(wrong, math.exp(alpha), 1.0)
+        w /= w.sum()
+    return out
+
+
+@pytest.mark.parametrize("documents", [10**6, 0])
+def test_term_stumps_match_every_cut_tried(spark, monkeypatch, documents):
+    from inkline.operators import term_boost
+
+    monkeypatch.setattr(term_boost, "MAX_DOCUMENTS", documents)
+    rng = np.random.default_rng(4)
+    x = np.where(rng.random((60, 12)) < 0.3, np.round(rng.random((60, 12)), 1) + 0.1, 0.0)
+    x[::3] = x[0]
+    x[5] = 0.0
+    y = ((x[:, 1] + x[:, 4] > 0.6) ^ (rng.random(60) < 0.2)).astype(int)
+    rounds = 8 if documents else 3
+    want = boosted_by_hand(x, y, rounds)
+    entries = spark.createDataFrame([(int(i), f"t{t:02d}", float(x[i, t])) for i, t in zip(*np.nonzero(x))], "id long, term string, weight double").repartition(3)
+    labels = spark.createDataFrame([(i, int(v)) for i, v in enumerate(y)], "id long, label int")
+    model = term_boost.fit(entries, labels, "id", rounds)
+    for s, (term, cut_, error, alpha) in zip(model, want, strict=True):
+        assert s.term == term and (s.threshold, s.error, s.alpha) == pytest.approx((cut_, error, alpha))
+    got = {r["id"]: r["p"] for r in term_boost.predict(entries, labels, model, "id").collect()}
+    for i in range(60):
+        votes = sum(s.alpha * (s.above if x[i, int(s.term[1:])] > s.threshold else s.below) for s in model)
+        assert got[i] == pytest.approx(votes / sum(s.alpha for s in model))

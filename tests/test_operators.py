@@ -335,7 +335,7 @@ def test_registered_models_use_the_full_settings(spark, sf, monkeypatch):
     """What each query hands to its estimator, caught at fit."""
     from pyspark.ml.classification import MultilayerPerceptronClassifier, OneVsRest, RandomForestClassifier
 
-    from inkline.operators import boost, booster, forest, tuning
+    from inkline.operators import booster, forest, term_boost, tuning
     from inkline.plans import models_q as q
 
     class Seen(Exception):
@@ -351,7 +351,7 @@ def test_registered_models_use_the_full_settings(spark, sf, monkeypatch):
 
     for kind in (MultilayerPerceptronClassifier, OneVsRest, RandomForestClassifier):
         monkeypatch.setattr(kind, "fit", caught)
-    monkeypatch.setattr(boost, "fit", caught)
+    monkeypatch.setattr(term_boost, "fit", caught)
     (forest, _), _ = call("bagging")
     assert (forest.getNumTrees(), forest.getMaxDepth()) == (50, 30)
     _, named = call("adaboost")
