@@ -73,11 +73,19 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
         "No part of this publication may be reproduced, distributed, or transmitted in any form or by any means without the prior written permission of the publisher.",
         "This document is confidential and proprietary."),
 }
+# SPDX identifiers and their families.
+SPDX = {
+    "Apache-2.0": "Apache-2.0", "MIT": "MIT", "GPL-2.0": "GPL", "GPL-2.0-only": "GPL", "GPL-2.0-or-later": "GPL", "GPL-2.0+": "GPL", "GPL-3.0": "GPL",
+    "GPL-3.0-only": "GPL", "GPL-3.0-or-later": "GPL", "LGPL-2.1": "LGPL", "LGPL-2.1-only": "LGPL", "LGPL-2.1-or-later": "LGPL", "LGPL-3.0": "LGPL",
+    "LGPL-3.0-only": "LGPL", "LGPL-3.0-or-later": "LGPL", "BSD-2-Clause": "BSD", "BSD-3-Clause": "BSD", "MPL-2.0": "MPL-2.0", "ISC": "ISC",
+    "CC-BY-4.0": "CC-BY", "CC-BY-SA-4.0": "CC-BY-SA", "CC-BY-NC-4.0": "CC-BY-NC", "CC-BY-NC-SA-4.0": "CC-BY-NC", "CC0-1.0": "CC0", "Unlicense": "CC0"}
+SPDX_TAG, SPDX_JOINS, SPDX_WITH = "SPDX-License-Identifier:", ("AND", "OR"), "WITH"
 UNKNOWN = "unknown"
 BUCKETS = 1 << 15
 WINDOW, STRIDE = 48, 24
 MAX_UNKNOWN = 3000  # lines of the corpus that training may see
 MIN_PROBABILITY, MIN_SHARED, GRAM = 0.5, 0.6, 3
+SHORT_TEMPLATE, MIN_OF_WINDOW = 8, 1 / 6  # a single sequence shared with a template of fewer ones must be so much of the window
 IS_MARK = np.zeros(256, bool)
 IS_MARK[list(b".,;:")] = True
 SPAN = "array<struct<first_word:int,n_words:int,family:string,probability:double,shared:double,confirmed:boolean>>"
@@ -118,20 +126,42 @@ def template_grams() -> dict[str, list[np.ndarray]]:
     return {f: [grams(hashed(t)) for t in ts] for f, ts in TEMPLATES.items()}
 
 
+def spdx_words() -> dict[int, str]:
+    """Hashes of what may stand in an SPDX expression, bracketed or not: identifiers to families, AND and OR to "", WITH to its own name."""
+    plain = {**SPDX, **dict.fromkeys(SPDX_JOINS, ""), SPDX_WITH: SPDX_WITH}
+    return {int(hashed(left + word + right)[0]): value for word, value in plain.items() for left in ("", "(", "((") for right in ("", ")", "))")}
+
+
+def spdx_families(words: np.ndarray, tag: int, known: dict[int, str]) -> set[str]:
+    """Families that SPDX expressions behind a tag in the window name; an expression ends with the first other word."""
+    out: set[str] = set()
+    for at in np.flatnonzero(words == np.uint64(tag)):
+        k = at + 1
+        while k < len(words) and (value := known.get(int(words[k]))) is not None:
+            if value == SPDX_WITH:
+                k += 1  # the exception's name
+            elif value:
+                out.add(value)
+            k += 1
+    return out
+
+
 def confirmed(mine: np.ndarray, families: dict[str, list[np.ndarray]], probability: dict[str, float]) -> dict[str, float]:
     """Families with a template that shares enough with the window, and how much.
 
     A template is passed over if what it shares is part of what another family's
     matching template shares (the Lesser GPL's line holds sequences of the GPL's), or
     the same and the other family is more probable. Beside the most probable family
-    others need two shared sequences, as many notices hold a phrase like "all rights reserved".
+    others need two shared sequences, as many notices hold a phrase like "all rights reserved"; and a single
+    one confirms a short template only where it is a sixth of the window.
     """
     first = max(probability, key=probability.__getitem__)
     found = []
     for f, templates in families.items():
         for t in templates:
             common = np.intersect1d(mine, t, assume_unique=True)
-            if len(common) >= (1 if f == first else 2) and len(common) / min(len(mine), len(t)) >= MIN_SHARED:
+            enough = len(common) >= (1 if f == first else 2) and len(common) / min(len(mine), len(t)) >= MIN_SHARED
+            if enough and (len(common) > 1 or len(t) >= SHORT_TEMPLATE or len(common) / len(mine) >= MIN_OF_WINDOW):
                 found.append((f, common, len(common) / min(len(mine), len(t))))
     out: dict[str, float] = {}
     for f, common, share in found:
@@ -225,6 +255,7 @@ def scan(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """(doc_id, text) to (doc_id, spans)."""
         m, known, names = model.value, template_grams(), [UNKNOWN, *TEMPLATES]
+        tag, identifiers = int(hashed(SPDX_TAG)[0]), spdx_words()
         for batch in batches:
             data, offsets = wd.text_bytes(batch.column(1))
             for i, j in wd.row_blocks(offsets, wd.BLOCK_BYTES // 2):
@@ -247,11 +278,11 @@ def scan(model):
                     p = np.exp(z - z.max(axis=1, keepdims=True))
                     p /= p.sum(axis=1, keepdims=True)
                     best = 1 + p[:, 1:].argmax(axis=1)
-                    begins = np.searchsorted(starts, at[:-1])
-                    begins = np.concatenate((starts, [len(words)]))[begins]
+                    begins = np.concatenate((starts, [len(words)]))[np.searchsorted(row, np.arange(j - i))]  # first words of the rows' first lines
                     for k in np.flatnonzero(1 - p[:, 0] >= MIN_PROBABILITY).tolist():
                         mine, r = grams(words[first[k] : last[k]]), int(row[line[k]])
                         sure = confirmed(mine, known, dict(zip(names[1:], p[k, 1:].tolist(), strict=True)))
+                        sure |= dict.fromkeys(spdx_families(words[first[k] : last[k]], tag, identifiers), 1.0)
                         guess = names[best[k]]
                         for family, shared in (sure or {guess: shared_part(mine, known, guess)}).items():
                             spans[r].append({"first_word": int(first[k] - begins[r]), "n_words": int(n[k]), "family": family,
@@ -268,7 +299,9 @@ def scan_licences(docs: DataFrame, lines: list[str] | None = None) -> DataFrame:
 
     Null and empty texts have no spans, repeated rows the same ones; other
     columns are ignored. ``lines`` replaces the sample of unknown lines; with none
-    at all the templates alone are learned. A sequence shorter than three words counts as one.
+    at all the templates alone are learned. A sequence shorter than three words counts as one. A long line is read
+    whole, in windows. Of equally probable families the first in TEMPLATES is the guess; of equally good
+    templates each family is reported. ``first_word`` counts a text's words from 0. SPDX expressions confirm each identifier they hold.
     """
     lines = sample_lines(docs) if lines is None else lines
     model = docs.sparkSession.sparkContext.broadcast(train(lines))

@@ -366,14 +366,50 @@ def test_licences_of_two_families(spark):
     assert [(t, got[i]) for i, (t, want) in enumerate(lines.items()) if got[i] != want] == []
 
 
+def test_licence_spans_point_at_the_words(spark):
+    """Several documents in one batch: a span's words are the notice's line, and its verdict that of plain word sets."""
+    rng = random.Random(5)
+    noise = lambda n: " ".join(rng.choice(["river", "stone", "light", "under", "walks"]) for _ in range(n))
+    notices = [t for ts in licences.TEMPLATES.values() for t in ts if 5 <= len(t.split()) <= licences.WINDOW]
+    rows = [(i, "\n".join([noise(rng.randint(0, 30)), "", t, noise(rng.randint(1, 9))])) for i, t in enumerate(notices)] + [(900, ""), (901, None)]
+    scanned = licences.scan_licences(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), [noise(6) for _ in range(60)]).collect()
+    assert len(scanned) == len(rows)
+    trigrams = lambda w: {tuple(w[k : k + 3]) for k in range(len(w) - 2)}
+    clean = lambda w: [re.sub(r"(?<=.)[.,;:]+$", "", x).lower() for x in w]
+    sets = {f: [trigrams(clean(t.split())) for t in ts] for f, ts in licences.TEMPLATES.items()}
+    texts, hit = dict(rows), 0
+    for r in scanned:
+        if r.doc_id >= 900:
+            assert not r.spans
+            continue
+        for s in r.spans:
+            words = texts[r.doc_id].split()[s.first_word : s.first_word + s.n_words]
+            assert len(words) == s.n_words and any(line.split() == words for line in texts[r.doc_id].split("\n"))
+            if s.confirmed:
+                mine = trigrams(clean(words))
+                assert max(len(mine & t) / min(len(mine), len(t)) for t in sets[s.family] if t) >= licences.MIN_SHARED
+                hit += words == notices[r.doc_id].split()
+    assert hit >= len(notices) - 1
+
+
+def test_licence_tags_and_phrases(spark):
+    lines = {"// SPDX-License-Identifier: Apache-2.0": "Apache-2.0", "# SPDX-License-Identifier: MIT": "MIT", " * SPDX-License-Identifier: Apache-2.0 OR MIT": "Apache-2.0,MIT",
+             "SPDX-License-Identifier: (GPL-2.0-only WITH Classpath-exception-2.0) OR BSD-3-Clause": "BSD,GPL", "SPDX-License-Identifier: Nothing-1.0": "",
+             "the company states that all rights reserved by the authors are listed below": "", "All rights reserved.": "Proprietary"}
+    unknown = ["river stone light under walks", "the poet walks in the light", "all the rights of the company are listed by the authors"] * 20
+    scanned = licences.scan_licences(spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string"), unknown)
+    got = {r.doc_id: r.licences for r in licences.summary(scanned).collect()}
+    assert [(t, got[i]) for i, (t, want) in enumerate(lines.items()) if got[i] != want] == []
+
+
 def test_queries_are_registered():
     import __spark_entry__ as entry
 
     names = [k for k in entry.queries() if re.match(r"op\d+_", k)]
-    assert sorted(int(k[2:].split("_")[0]) for k in names) == list(range(1, 11)) and "pipeline" in entry.queries()
+    assert sorted(int(k[2:].split("_")[0]) for k in names) == list(range(1, 14)) and "pipeline" in entry.queries()
 
 
-@pytest.mark.parametrize("key", ["op3_mix_sources", "op4_line_rules", "op5_url_lists"])
+@pytest.mark.parametrize("key", ["op3_mix_sources", "op4_line_rules", "op5_url_lists", "op11_periodic_runs", "op12_vector_codes", "op13_chat_format"])
 def test_matches_sql(spark, sf, key):
     import __spark_entry__ as entry
     from oracle_check import compare, duck
