@@ -85,9 +85,14 @@ def leaf_budgets(leaves: DataFrame, budget: int | None, share: float, epochs: in
     return poured.select(*keys, "n_docs", "supply", "budget")
 
 
-def place_of(seed: int, epoch: Column, doc_id: Column) -> Column:
+def name_of(doc_id: Column, text: Column) -> Column:
+    """The id as text; rows without one are told apart by their text, so that many of them spread over the places of a pass."""
+    return F.coalesce(doc_id.cast("string"), F.concat(F.lit("null "), F.md5(F.coalesce(text, F.lit("")).cast("binary"))))
+
+
+def place_of(seed: int, epoch: Column, name: Column) -> Column:
     """The document's place in a pass, as text."""
-    return F.md5(F.concat_ws(":", F.lit(str(seed)), epoch.cast("string"), F.coalesce(doc_id.cast("string"), F.lit("null"))).cast("binary"))
+    return F.md5(F.concat_ws(":", F.lit(str(seed)), epoch.cast("string"), name).cast("binary"))
 
 
 def bucket_of(place: Column, buckets: Column) -> Column:
@@ -97,8 +102,8 @@ def bucket_of(place: Column, buckets: Column) -> Column:
 def plan(docs: DataFrame, domain: Column, budget: int | None = None, share: float = 0.5, epochs: int = 2, seed: int = 17,
          weights: Mapping[str, int] | None = None) -> DataFrame:
     """(_k0, _k1, _k2, budget, supply, _passes, _buckets, _stop, _last) per leaf: whole passes and where the prefix ends."""
-    read = docs.select(domain.alias("_d"), "lang", "source", "doc_id", F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORDS)).cast("long").alias("tokens"))
-    meta = cut(read.select(*[F.coalesce(F.col(c).cast("string"), F.lit("null")).alias(f"_k{i}") for i, c in enumerate(("_d", "lang", "source"))], "doc_id", "tokens"))
+    read = docs.select(domain.alias("_d"), "lang", "source", name_of(F.col("doc_id"), F.col("text")).alias("_name"), F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORDS)).cast("long").alias("tokens"))
+    meta = cut(read.select(*[F.coalesce(F.col(c).cast("string"), F.lit("null")).alias(f"_k{i}") for i, c in enumerate(("_d", "lang", "source"))], "_name", "tokens"))
     keys = [f"_k{i}" for i in range(3)]
     leaves = cut(meta.groupBy(*keys).agg(F.count("*").alias("n_docs"), F.sum("tokens").alias("supply")))
     budgets = leaf_budgets(leaves, budget, share, epochs, weights or {})
@@ -106,7 +111,7 @@ def plan(docs: DataFrame, domain: Column, budget: int | None = None, share: floa
     told = cut(budgets.withColumn("_passes", whole)
                .withColumn("_rest", F.when(F.col("_passes") < epochs, F.col("budget") - F.col("_passes") * F.col("supply")).otherwise(F.lit(0)))
                .withColumn("_buckets", F.ceil(F.col("n_docs") / BUCKET_ROWS).cast("long")))
-    placed = meta.join(told, keys).withColumn("_place", place_of(seed, F.col("_passes"), F.col("doc_id"))).withColumn("_b", bucket_of(F.col("_place"), F.col("_buckets")))
+    placed = meta.join(told, keys).withColumn("_place", place_of(seed, F.col("_passes"), F.col("_name"))).withColumn("_b", bucket_of(F.col("_place"), F.col("_buckets")))
     totals = cut(placed.groupBy(*keys, "_b").agg(F.sum("tokens").alias("_sum"), F.first("_rest").alias("_rest")))
     run = totals.withColumn("_upto", F.sum("_sum").over(W.partitionBy(*keys).orderBy("_b")))
     over = cut(run.filter("_upto > _rest").groupBy(*keys).agg(F.min(F.struct("_b", (F.col("_upto") - F.col("_sum")).alias("_before"))).alias("_x"))
@@ -120,10 +125,10 @@ def plan(docs: DataFrame, domain: Column, budget: int | None = None, share: floa
 def mix(docs: DataFrame, domain: Column, epochs: int = 2, seed: int = 17, **settings) -> DataFrame:
     """All columns of ``docs`` and domain, n_tokens, copies: how often the mixture holds the row.
 
-    A null domain, language, source or doc_id is a value of its own, written
-    "null". Null and empty texts have no tokens; they ride along where their
-    place is within the prefix. Rows that repeat a doc_id in a leaf are taken
-    together or not at all. A node of weight 0 gets nothing. The plan, one row
+    A null domain, language or source is a value of its own, written
+    "null"; rows without doc_id are placed by their text. Null and empty texts have no tokens; they ride along where their
+    place is within the prefix. Rows that repeat a doc_id in a leaf, or a text
+    without one, are taken together or not at all. A node of weight 0 gets nothing. The plan, one row
     per leaf, meets the rows by an ordinary join that the optimiser sizes.
     """
     told = plan(docs, domain, epochs=epochs, seed=seed, **settings)
@@ -133,7 +138,7 @@ def mix(docs: DataFrame, domain: Column, epochs: int = 2, seed: int = 17, **sett
     for i, c in enumerate(LEVELS):
         match = match & (F.coalesce(rows[c].cast("string"), F.lit("null")) == leaf[f"_m_k{i}"])
     met = rows.join(leaf, match)
-    place = place_of(seed, F.col("_m_passes"), F.col("doc_id"))
+    place = place_of(seed, F.col("_m_passes"), name_of(F.col("doc_id"), F.col("text")))
     bucket = bucket_of(place, F.col("_m_buckets"))
     # without a stop every bucket fits: either nothing is left to fill or the leaf ends first
     within = F.when(F.col("_m_passes") >= epochs, F.lit(False)).when(F.col("_m_stop").isNull(), F.lit(True)).otherwise(
@@ -174,14 +179,14 @@ p{level} AS (SELECT *, CAST(CASE WHEN filled THEN cap ELSE (CAST(parent - coales
 
 
 ORACLE = f"""
-WITH doc AS (SELECT doc_id, coalesce(lang, 'null') k1, coalesce(source, 'null') k2,
+WITH doc AS (SELECT doc_id, coalesce(doc_id::VARCHAR, 'null ' || md5(coalesce(text, ''))) AS name, coalesce(lang, 'null') k1, coalesce(source, 'null') k2,
     CASE WHEN substr(md5(source), 1, 1) < '6' THEN 'web' WHEN substr(md5(source), 1, 1) < 'b' THEN 'books' ELSE 'code' END k0, lang, source,
     CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) n_tokens FROM documents),
 leaf AS (SELECT k0, k1, k2, CAST(sum(n_tokens) AS BIGINT) supply FROM doc GROUP BY ALL),{"".join(_pour_sql(i) for i in range(3))}
 q AS (SELECT p2.k0, p2.k1, p2.k2, p2.budget, supply, CASE WHEN supply > 0 THEN least({EPOCHS}, p2.budget // supply) ELSE 0 END passes
     FROM p2 JOIN leaf USING (k0, k1, k2)),
 r AS (SELECT doc.*, budget, passes, CASE WHEN passes < {EPOCHS} THEN budget - passes * supply ELSE -1 END rest,
-    md5('{SEED}:' || passes || ':' || doc_id) place FROM doc JOIN q USING (k0, k1, k2)),
+    md5('{SEED}:' || passes || ':' || name) place FROM doc JOIN q USING (k0, k1, k2)),
 s AS (SELECT *, sum(n_tokens) OVER (PARTITION BY k0, k1, k2 ORDER BY place) sofar FROM r)
 SELECT doc_id, k0 AS domain, lang, source, n_tokens, CAST(passes + CASE WHEN sofar <= rest THEN 1 ELSE 0 END AS BIGINT) copies FROM s
 """

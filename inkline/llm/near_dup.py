@@ -178,7 +178,10 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_
     stars = held.filter("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
     stars = stars.join(bits("b", "y"), "b").join(bits("a", "x"), "a").filter(matches("x", "y") >= least).select("a", "b").distinct()
     links = confirmed(cut(stars), docs, percent)
-    roots = components(links)
+    # one document with several texts joins their classes
+    own = some.join(classes.select(*key, "node"), key).groupBy("doc_id").agg(F.min("node").alias("a"), F.collect_set("node").alias("_all")).filter(F.size("_all") > 1)
+    own = own.select("a", F.explode("_all").alias("b")).filter("a <> b")
+    roots = components(links.unionByName(own))
 
     # what is still apart: buckets with classes of two components or more
     root = roots.select("node", F.col("to").alias("root"))

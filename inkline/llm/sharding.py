@@ -67,12 +67,15 @@ def write_shards(docs: DataFrame, path: str, shards: int = SHARDS, seed: int = S
     total = docs.agg(F.sum(size).alias("n")).first()["n"] or 0
     buckets = max(1, ceil(total / (shards * bucket_bytes)))
     key = key_of(F.col("doc_id"), F.col("text"))
+    # the shard follows from the key alone; rows that share a key part again by what else they hold
+    whole = [F.col(f"`{f.name}`") for f in docs.schema.fields if isinstance(f.dataType, T.AtomicType)]
     scattered = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), size.alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"),
         shard_of(key, shards + 1).cast("int").alias("grown_shard"), shard_of(key, shards).cast("int").alias("shard"),
-        F.pmod(F.xxhash64(F.lit(seed), key), F.lit(buckets)).cast("int").alias("bucket"), key.alias("_key"))
+        F.pmod(F.xxhash64(F.lit(seed), key, *whole), F.lit(buckets)).cast("int").alias("bucket"), key.alias("_key"))
     schema = T.StructType([f for f in scattered.schema.fields if f.name != "_key"] + [T.StructField("place", T.LongType())])
-    (scattered.groupBy("shard", "bucket").applyInArrow(shuffler(seed), schema)
+    # twice as many partitions as buckets, so that few tasks get more than one or two
+    (scattered.repartition(2 * shards * buckets, "shard", "bucket").groupBy("shard", "bucket").applyInArrow(shuffler(seed), schema)
      .sortWithinPartitions("shard", "bucket", "place").write.partitionBy("shard").parquet(path))
 
 
@@ -93,8 +96,8 @@ def shard(docs: DataFrame, path: str | None = None, **settings) -> DataFrame:
 
     Null texts count as empty, and stay null in the written row. Records
     without doc_id are placed by their text. Rows that repeat a doc_id share its
-    shard and bucket and have slots of their own; equal ones are
-    interchangeable. An empty table gives no files and no rows.
+    shard and have slots of their own; they part over its buckets unless all
+    they hold is equal, and then they are interchangeable. Texts may be as long as a bucket or longer; such a one fills its bucket alone. An empty table gives no files and no rows.
     """
     spark = docs.sparkSession
     path = path or f"{checkpoint_dir(spark).rstrip('/')}/shards-{uuid.uuid4().hex}"
