@@ -193,7 +193,8 @@ def test_mixing(docs, nothing):
             supply, budget = sum(r.n_tokens for r in rs), budgets[leaf]
             passes = min(epochs, budget // supply) if supply else 0
             rest = budget - passes * supply if passes < epochs else -1
-            place = lambda r: hashlib.md5(f"17:{passes}:{'null' if r.doc_id is None else r.doc_id}".encode()).hexdigest()  # noqa: B023, E731
+            name = lambda r: f"null {hashlib.md5((r.text or '').encode()).hexdigest()}" if r.doc_id is None else r.doc_id
+            place = lambda r: hashlib.md5(f"17:{passes}:{name(r)}".encode()).hexdigest()  # noqa: B023, E731
             for r in rs:
                 upto = sum(x.n_tokens for x in rs if place(x) <= place(r))
                 assert r.copies == passes + (upto <= rest), (leaf, r.doc_id)
