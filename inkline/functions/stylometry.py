@@ -433,7 +433,7 @@ ARROW_56 = ("mtld", "compression_ratio", "lexical_cohesion")
 
 
 def catalogue_45() -> dict[str, Column]:
-    """The 45-feature catalogue without its sentiment column (see ``sentiment``)."""
+    """The 45-feature catalogue; its last column is ``sentiment`` with the default lexicon."""
     flat, n, na = c("flat"), F.length("flat"), c("n_atoks")
     shares, punct, rep = lexicon_shares(), punctuation(), repetition()
     wl, suf, ent = word_length(), suffixes(), entropies()
@@ -457,9 +457,10 @@ def catalogue_45() -> dict[str, Column]:
         "gunning_fog": readability()["gunning_fog_ascii"],
         "contraction_count": phrases()["contraction_count"],
         "syntax_variety": syntax()["syntax_variety"],
+        "vader_compound_score": sentiment()["sentiment"],
     }
     pool = {**punct, **shares, **rep, **wl, **suf, **own}
-    return {name: pool[name] for name in NAMES_45 if name != "vader_compound_score"}
+    return {name: pool[name] for name in NAMES_45}
 
 
 def catalogue_56(text: str = "text") -> dict[str, Column]:

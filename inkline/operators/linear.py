@@ -1,7 +1,8 @@
-"""Regression line and a single sigmoid unit trained by full-batch descent."""
+"""Regression line, least squares, and a single sigmoid unit trained by full-batch descent."""
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,6 +12,45 @@ def fit_line(df: DataFrame, x: str, y: str) -> tuple[float, float]:
     return row["slope"], row["intercept"]
 
 
+def least_squares(df: DataFrame, features: list[str], y: str, tolerance: float = 1e-10) -> tuple[float, list[float]]:
+    """(intercept, coefficients) of ordinary least squares: one aggregate of means and covariances, then a Cholesky factor on the driver.
+
+    A feature whose variance the features before it explain but for ``tolerance`` is dependent and gets 0, as do constant
+    ones. Rows with a null in any column are left out; without rows all are 0.
+    """
+    names = [*features, y]
+    known = df.select(*[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(names)]).dropna()
+    pairs = [(i, j) for i in range(len(names)) for j in range(i + 1)]
+    row = known.agg(*[F.avg(f"x{i}").alias(f"m{i}") for i in range(len(names))], *[F.covar_pop(f"x{i}", f"x{j}").alias(f"c{i}_{j}") for i, j in pairs]).first()
+    d = len(features)
+    cov = np.zeros((d + 1, d + 1))
+    for i, j in pairs:
+        cov[i, j] = cov[j, i] = row[f"c{i}_{j}"] or 0.0
+    factor, kept = np.zeros((d, d)), []
+    for i in range(d):
+        for j in kept:
+            factor[i, j] = (cov[i, j] - factor[i, :j] @ factor[j, :j]) / factor[j, j]
+        rest = cov[i, i] - factor[i, :i] @ factor[i, :i]
+        if rest > tolerance * max(cov[i, i], 1e-300):
+            factor[i, i] = np.sqrt(rest)
+            kept.append(i)
+        else:
+            factor[i] = 0.0
+    lower = factor[np.ix_(kept, kept)]
+    coefficients = np.zeros(d)
+    if kept:
+        coefficients[kept] = np.linalg.solve(lower.T, np.linalg.solve(lower, cov[kept, d]))
+    intercept = (row[f"m{d}"] or 0.0) - float(sum(c * (row[f"m{i}"] or 0.0) for i, c in enumerate(coefficients)))
+    return intercept, coefficients.tolist()
+
+
+def predict_linear(df: DataFrame, features: list[str], intercept: float, coefficients: list[float], out: str = "yhat") -> DataFrame:
+    value = F.lit(intercept)
+    for name, c in zip(features, coefficients, strict=True):
+        value = value + F.lit(c) * F.col(name)
+    return df.withColumn(out, value)
+
+
 def sigmoid(features: list[str], bias: float, weights: list[float]) -> Column:
     z = F.lit(bias)
     for name, w in zip(features, weights):

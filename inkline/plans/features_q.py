@@ -368,9 +368,13 @@ def feat_cohesion(spark, sf):
 VALENCE_VALUES = ", ".join(f"({quote(w)}, {v}::double)" for w, v in lx.VALENCE)
 
 
-@query("feat_sentiment", f"""WITH {BASE}, lexicon(w, valence) AS (VALUES {VALENCE_VALUES}),
-s AS (SELECT doc_id, sum(valence) AS s FROM (SELECT doc_id, unnest(atoks) AS w FROM toks) JOIN lexicon USING (w) GROUP BY doc_id)
-SELECT t.doc_id, {r('coalesce(s.s / sqrt(s.s * s.s + 15), 0)')} AS sentiment FROM toks t LEFT JOIN s ON s.doc_id = t.doc_id""")
+VALENCE_CTE = f""",
+lexicon(w, valence) AS (VALUES {VALENCE_VALUES}),
+vs AS (SELECT doc_id, sum(valence) AS s FROM (SELECT doc_id, unnest(atoks) AS w FROM toks) JOIN lexicon USING (w) GROUP BY doc_id)"""
+SQL_SENTIMENT = r("coalesce(vs.s / sqrt(vs.s * vs.s + 15), 0)")
+
+
+@query("feat_sentiment", plain_sql({"sentiment": SQL_SENTIMENT}, VALENCE_CTE, left("vs")))
 def feat_sentiment(spark, sf):
     return family(spark, sf, st.sentiment())
 
@@ -440,8 +444,8 @@ kl AS (SELECT doc_id, avg(k) AS km, stddev_pop(k) AS ksd, avg(g) AS gm, stddev_p
   SELECT doc_id, len({alpha_sql('s')}) AS k, len(regexp_extract_all(s, '{tx.WORD}')) AS g FROM (SELECT doc_id, unnest(ksents) AS s FROM toks))
   GROUP BY doc_id),
 ll AS (SELECT doc_id, avg(k) AS m, sum(CASE WHEN k >= 7 THEN 1 ELSE 0 END) AS lo, sum(CASE WHEN k <= 3 THEN 1 ELSE 0 END) AS sh FROM (
-  SELECT doc_id, length(unnest(alpha)) AS k FROM toks) GROUP BY doc_id)""")
-WIDE_JOINS = left("a", "a3", "l", "cf", "al", "sa", "sy", "kl", "ll")
+  SELECT doc_id, length(unnest(alpha)) AS k FROM toks) GROUP BY doc_id)""" + VALENCE_CTE)
+WIDE_JOINS = left("vs", "a", "a3", "l", "cf", "al", "sa", "sy", "kl", "ll")
 
 
 def class_ratio(text: str, cls: str) -> str:
@@ -464,6 +468,7 @@ SQL_45 = {
     "contraction_count": SQL_PHRASES["contraction_count"],
     **{k: SQL_SUFFIX[k] for k in ("adverb_count", "complex_verb_count", "abstract_noun_count", "sophisticated_adjective_count")},
     "trigram_uniqueness": SQL_REPETITION["trigram_uniqueness"], "syntax_variety": SQL_SYNTAX["syntax_variety"],
+    "vader_compound_score": SQL_SENTIMENT,
 }
 LONG_STOPS = in_count(LALPHA, lx.ENGLISH_STOPWORDS)
 CPUNCT = count_class_sql("clean", tx.ASCII_PUNCT)

@@ -4,16 +4,19 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions import lexicons as lx, stylometry as st, text as tx
-from ..operators import binned, booster, encode, forest, metrics, models, scoring, selection as sel, split, term_boost, tfidf, tuning
+from ..functions import stylometry as st, text as tx
+from ..operators import binned, booster, encode, forest, linear, metrics, models, network, scoring, selection as sel, split, term_boost, tfidf, tuning
 from ..session import checkpoint_dir, cut
 from ..sources.tables import load
 from ..streaming import score_stream as ss
-from .registry import query, tidy
+from .registry import query, r6, tidy
+from .sqltext import r
 from .select_q import SCORED_FEATURES
 from .text_q import labelled, text_docs
+from .tfidf_q import SPLIT_SQL, terms_sql, vocab_sql, weights_sql
 from .vectors_q import vectors
 
 
@@ -170,32 +173,56 @@ def adaboost(spark, sf):
     return tidy(metrics.binary_metrics(term_boost.predict(weights, test.select("doc_id", "label"), model, "doc_id")))
 
 
-def flag_frame(spark, sf):
+def flag_frame(spark, sf, scale_price=True):
     """Return flag as class code, scaled numbers and one-hot line status."""
     num = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
     items = load(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", *num, "l_returnflag", "l_linestatus")
     items = encode.one_hot(encode.label_encode(items, "l_returnflag", "label"), "l_linestatus")
     cols = [*num, *[c for c in items.columns if c.startswith("l_linestatus_")]]
-    scaled = encode.standard_scale(items, encode.fit_standard(items, cols))
-    return scaled, cols
+    scaled = [c for c in cols if scale_price or c != "l_extendedprice"]
+    return encode.standard_scale(items, encode.fit_standard(items, scaled)), cols
 
 
 @query("logistic_regression")
 def logistic_regression(spark, sf):
+    """Fitted on four fifths of the lines, reported on the others."""
     items, cols = flag_frame(spark, sf)
-    data = models.assemble(items, cols).select(F.col("label").cast("double").alias("label"), "features").cache()
-    model = models.logistic(data.count()).fit(data)
-    out = model.transform(data).select(F.col("label").cast("int").alias("label"), F.col("prediction").cast("int").alias("pred"))
+    parts = split.random_split(items.withColumn("_id", F.col("l_orderkey") * 8 + F.col("l_linenumber")), "_id", 0.2)
+    data = cut(models.assemble(parts, cols).select(F.col("label").cast("double").alias("label"), "split", "features"))
+    train, test = halves(data)
+    model = models.logistic(train.count()).fit(train)
+    out = model.transform(test).select(F.col("label").cast("int").alias("label"), F.col("prediction").cast("int").alias("pred"))
     return tidy(metrics.classification_report(out))
 
 
 @query("linear_regression")
 def linear_regression(spark, sf):
-    items, cols = flag_frame(spark, sf)
+    """Price on scaled numbers and one-hot status, fitted on four fifths of the lines, scored on the others."""
+    items, cols = flag_frame(spark, sf, scale_price=False)
     cols = [c for c in cols if c != "l_extendedprice"]
-    data = models.assemble(items, cols).select(F.col("l_extendedprice").alias("y"), "features")
-    model = models.least_squares("y").fit(data)
-    return tidy(metrics.regression_metrics(model.transform(data).withColumnRenamed("prediction", "yhat")))
+    data = cut(split.random_split(items.withColumn("_id", F.col("l_orderkey") * 8 + F.col("l_linenumber")), "_id", 0.2))
+    train, test = halves(data)
+    fitted = linear.least_squares(train, cols, "l_extendedprice")
+    return tidy(metrics.regression_metrics(linear.predict_linear(test, cols, *fitted).select(F.col("l_extendedprice").alias("y"), "yhat")))
+
+
+@query("least_squares_fit", f"""WITH o AS (SELECT o_totalprice::DOUBLE AS y, o_custkey::DOUBLE AS a, epoch(o_orderdate) / 86400 AS b, o_orderkey,
+  row_number() OVER (ORDER BY md5(o_orderkey::VARCHAR), o_orderkey) AS rn, count(*) OVER () AS n FROM orders),
+tr AS (SELECT * FROM o WHERE rn > round_even(n * 0.2, 0)),
+s AS (SELECT var_pop(a) AS aa, var_pop(b) AS bb, covar_pop(a, b) AS ab, covar_pop(a, y) AS ay, covar_pop(b, y) AS by_, avg(a) AS ma, avg(b) AS mb, avg(y) AS my FROM tr),
+k AS (SELECT (ay * bb - by_ * ab) / (aa * bb - ab * ab) AS ca, (by_ * aa - ay * ab) / (aa * bb - ab * ab) AS cb, * FROM s),
+e AS (SELECT y, my - ca * ma - cb * mb + ca * a + cb * b AS yhat FROM o, k WHERE rn <= round_even(n * 0.2, 0))
+SELECT {r('any_value(ca)', 4)} AS coef_customer, {r('any_value(cb)', 4)} AS coef_day, {r('any_value(my - ca * ma - cb * mb)', 2)} AS intercept,
+  (SELECT {r('avg((y - yhat) ** 2)', 0)} FROM e) AS mse FROM k""")
+def least_squares_fit(spark, sf):
+    """Coefficients of two features and the squared error on held-out orders."""
+    orders = load(spark, sf, "orders").select("o_orderkey", F.col("o_totalprice").cast("double").alias("y"), F.col("o_custkey").cast("double").alias("a"),
+                                              (F.unix_micros("o_orderdate") / 86_400_000_000).alias("b"))
+    train, test = halves(split.random_split(orders, "o_orderkey", 0.2))
+    intercept, (ca, cb) = linear.least_squares(train, ["a", "b"], "y")
+    mse = linear.predict_linear(test, ["a", "b"], intercept, [ca, cb]).agg(F.avg((F.col("y") - F.col("yhat")) ** 2)).first()[0]
+    row = spark.createDataFrame([(ca, cb, intercept, mse)], "coef_customer double, coef_day double, intercept double, mse double")
+    return row.select(*[r6(F.col(c), k).alias(c) for c, k in (("coef_customer", 4), ("coef_day", 4), ("intercept", 2), ("mse", 0))])
 
 
 @query("svm_rbf")
@@ -240,30 +267,55 @@ def silhouette(spark, sf):
 
 @query("mlp")
 def mlp(spark, sf):
-    train, test = halves(style_frame(spark, sf))
-    return evaluate(models.perceptron(len(SCORED_FEATURES)).fit(train), test)
-
-
-def hybrid_frame(spark, sf, size=10000):
-    """TF-IDF and scaled stylometry side by side."""
-    tokens = labelled(spark, sf).select("doc_id", tx.term_tokens(F.col("text"), lx.ENGLISH_STOPWORDS).alias("tokens"))
-    style = style_frame(spark, sf).withColumnRenamed("features", "style")
-    docs = cut(style.join(tokens, "doc_id"))
-    vec = models.fit_tfidf(docs.filter("split = 'train'"), "tokens", "tfidf", size, 2.0).transform(docs)
-    return models.assemble(vec, ["tfidf", "style"], "hybrid").select("doc_id", "label", "split", "tfidf", "style", "hybrid")
+    """64, 32 and 16 units over the scaled style features, classes weighted, stopped by the loss on an eighth of the training rows."""
+    train, test = halves(array_frame(spark, sf))
+    shape = network.Shape(len(SCORED_FEATURES))
+    table = network.written(train, shape, "x", "label", "doc_id", eighth(F.col("doc_id")))
+    model = network.fit(table, shape, network.Training(weights=network.balanced(train, "label")))
+    return tidy(metrics.binary_metrics(test.select("label", (model.probability("x") > 0.5).cast("int").alias("pred"))))
+
+
+def hybrid_frame(spark, sf):
+    """(doc_id, label, split, x, indices, values): scaled style features, and the TF-IDF weights of the training vocabulary as a sparse row; and its size."""
+    style = array_frame(spark, sf).select("doc_id", "label", "split", "x")
+    docs = cut(labelled(spark, sf).select("doc_id", "text").join(style.select("doc_id", "split"), "doc_id"))
+    terms = cut(tfidf.term_frequencies(docs, "doc_id", "text", tfidf.HYBRID_10000, ("split",)))
+    vocab = tfidf.fit_vocabulary(terms.filter("split = 'train'"), docs.filter("split = 'train'").count(), tfidf.HYBRID_10000)
+    place = F.row_number().over(W.partitionBy(F.lit(0)).orderBy("term")) - 1  # at most 10,000 terms
+    vocab = cut(vocab.withColumn("place", place))
+    weights = tfidf.weigh(terms, vocab, "doc_id", tfidf.HYBRID_10000).join(vocab.select("term", "place"), "term")
+    rows = weights.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("place", "weight"))).alias("e"))
+    rows = rows.select("doc_id", F.transform("e", lambda e: e["place"]).alias("indices"), F.transform("e", lambda e: e["weight"]).alias("values"))
+    return cut(style.join(rows, "doc_id", "left")), vocab.count()
+
+
+@query("hybrid_vector", f"""WITH {SPLIT_SQL}, {terms_sql('t', 'train', tfidf.HYBRID_10000)}, {vocab_sql('vo', 't', 'train', tfidf.HYBRID_10000)},
+{terms_sql('ta', 'ld', tfidf.HYBRID_10000)}, {weights_sql('we', 'ta', 'vo', tfidf.HYBRID_10000)},
+pl AS (SELECT term, row_number() OVER (ORDER BY term) - 1 AS place FROM vo)
+SELECT ld.doc_id, count(term) AS n_terms, (SELECT count(*) FROM vo) + {len(SCORED_FEATURES)} AS size, {r('coalesce(sum(weight), 0)', 5)} AS weight_sum,
+  coalesce(sum(place), 0)::BIGINT AS place_sum FROM ld LEFT JOIN we USING (doc_id) LEFT JOIN pl USING (term) GROUP BY ld.doc_id""")
+def hybrid_vector(spark, sf):
+    """What the hybrid vector of each document holds: its size, its TF-IDF entries, their sum and the sum of their places."""
+    frame, terms = hybrid_frame(spark, sf)
+    some = F.coalesce(F.col("indices"), F.array().cast("array<int>"))
+    add = lambda name, zero: F.aggregate(F.coalesce(F.col(name), F.array().cast(f"array<{zero}>")), F.lit(0).cast(zero), lambda a, v: a + v)
+    return frame.select("doc_id", F.size(some).cast("long").alias("n_terms"), (F.lit(terms) + F.size("x")).cast("long").alias("size"),
+                        r6(add("values", "double"), 5).alias("weight_sum"), F.aggregate(some, F.lit(0).cast("long"), lambda a, v: a + v).alias("place_sum"))
 
 
-@query("hybrid_vector")
-def hybrid_vector(spark, sf):
-    frame = hybrid_frame(spark, sf)
-    arr = models.vector_to_array("hybrid")
-    return tidy(frame.select("doc_id", F.size(arr).alias("size"), F.size(F.filter(arr, lambda x: x != 0)).alias("nonzero")))
+HYBRID = network.Training(rate=0.001, epochs=15, patience=3, l2=0.0, plateau=2)  # fixed values: training of the two-branch network
 
 
 @query("mlp_hybrid")
 def mlp_hybrid(spark, sf):
-    train, test = halves(cut(hybrid_frame(spark, sf).select("doc_id", "label", "split", F.col("hybrid").alias("features"))))
-    return evaluate(models.perceptron(train.first()["features"].size).fit(train), test)
+    """Two branches, 512-256-128 over the TF-IDF weights and 64-32 over the style features, joined by 128 and 64 units."""
+    frame, terms = hybrid_frame(spark, sf)
+    train, test = halves(frame)
+    shape = network.Shape(len(SCORED_FEATURES), terms, (64, 32), (512, 256, 128), (128, 64))
+    table = network.written(train, shape, "x", "label", "doc_id", eighth(F.col("doc_id")), "indices", "values")
+    model = network.fit(table, shape, HYBRID)
+    pred = (model.probability("x", "indices", "values") > 0.5).cast("int")
+    return tidy(metrics.binary_metrics(test.select("label", pred.alias("pred"))))
 
 
 @query("tune_gbt")

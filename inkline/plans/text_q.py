@@ -166,7 +166,18 @@ def kfold_assign(spark, sf):
 
 @query("bootstrap_sample")
 def bootstrap_sample(spark, sf):
-    return split.bootstrap(order_labels(spark, sf)).groupBy("o_orderpriority").agg(F.count("*").alias("n"))
+    """Draws per class and how many different rows they hit; as many draws as rows in all."""
+    drawn = split.bootstrap(order_labels(spark, sf), "o_orderkey")
+    return drawn.groupBy("o_orderpriority").agg(F.sum("copies").alias("n"), F.count("*").alias("n_rows"))
+
+
+@query("bootstrap_size", "SELECT count(*) AS n_draws, true AS some_repeat, true AS none_foreign FROM orders")
+def bootstrap_size(spark, sf):
+    """What holds for any seed: as many draws as rows, some row more than once, and only rows of the table."""
+    orders = order_labels(spark, sf)
+    drawn = split.bootstrap(orders, "o_orderkey")
+    foreign = drawn.join(orders, "o_orderkey", "left_anti").count()
+    return drawn.agg(F.sum("copies").alias("n_draws"), (F.max("copies") > 1).alias("some_repeat"), F.lit(foreign == 0).alias("none_foreign"))
 
 
 @query("distinct_values", """SELECT 'l_returnflag' AS feature, l_returnflag AS value FROM lineitem GROUP BY 2

@@ -329,3 +329,131 @@ def test_term_stumps_match_every_cut_tried(spark, monkeypatch, documents):
     for i in range(60):
         votes = sum(s.alpha * (s.above if x[i, int(s.term[1:])] > s.threshold else s.below) for s in model)
         assert got[i] == pytest.approx(votes / sum(s.alpha for s in model))
+
+
+# --- resampling and least squares ---------------------------------------------------
+
+def test_bootstrap_draws_exactly_n(spark, monkeypatch):
+    import hashlib
+
+    from inkline.operators import split
+
+    for n, block in ((500, 64), (500, 8192), (0, 64)):
+        monkeypatch.setattr(split, "BLOCK", block)
+        df = spark.createDataFrame([(i, "hot" if i % 3 == 0 else "x") for i in range(n)], "id long, k string")
+        got = {r["id"]: r["copies"] for r in split.bootstrap(df.repartition(5), "id").collect()}
+        assert sum(got.values()) == n and got == {r["id"]: r["copies"] for r in split.bootstrap(df.coalesce(1), "id").collect()}
+        depth = max(0, (n // block).bit_length())
+        md5 = lambda i: hashlib.md5(str(i).encode()).hexdigest()
+        blocks = [[] for _ in range(1 << depth)]
+        for i in sorted(range(n), key=lambda i: (md5(i), i)):
+            blocks[int(md5(i)[:8], 16) >> (32 - depth) if depth else 0].append(i)
+        want = {}
+        for b, (rows, k) in enumerate(zip(blocks, split.draws_per_block([len(x) for x in blocks], n, 42))):
+            for place in np.random.default_rng([42, 1, b]).integers(0, len(rows), k) if rows else []:
+                want[rows[place]] = want.get(rows[place], 0) + 1
+        assert got == want
+
+
+def test_bootstrap_shares_are_multinomial():
+    from inkline.operators import split
+
+    drawn = np.array([split.draws_per_block([100, 300, 0, 600], 1000, s) for s in range(400)])
+    assert (drawn.sum(1) == 1000).all() and (drawn[:, 2] == 0).all()
+    assert drawn.mean(0) == pytest.approx([100, 300, 0, 600], abs=4) and drawn[:, 0].var() == pytest.approx(90, rel=0.3)
+
+
+def test_least_squares_matches_numpy(spark):
+    from inkline.operators import linear
+
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(80, 3))
+    y = 4 + x @ [1.0, -2.0, 0.5] + rng.normal(size=80) / 10
+    rows = [(*map(float, v), float(v[0] + v[1]), 7.0, float(t)) for v, t in zip(x, y)] + [(None, 0.0, 0.0, 0.0, 7.0, 1.0)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, s double, k double, y double").repartition(3)
+    want = np.linalg.lstsq(np.column_stack([np.ones(80), x]), y, rcond=None)[0]
+    intercept, coef = linear.least_squares(df, ["a", "b", "c", "s", "k"], "y")
+    assert [intercept, *coef[:3]] == pytest.approx(want.tolist()) and coef[3:] == [0.0, 0.0]
+    assert linear.least_squares(df.filter("a > 99"), ["a"], "y") == (0.0, [0.0])
+
+
+# --- networks -----------------------------------------------------------------------
+
+def net_rows(spark, n, seed=2):
+    rng = np.random.default_rng(seed)
+    rows = []
+    for i in range(n):
+        x = [float(v) for v in rng.normal(size=3)]
+        index = sorted(rng.choice(12, 4, replace=False).tolist()) if i % 5 else []
+        value = [float(v) for v in rng.random(len(index))]
+        y = int(x[0] - x[1] + (2.0 if 3 in index else 0.0) > 0.3)
+        rows.append((i, x, index, value, y, int(i % 4 == 0)))
+    return spark.createDataFrame(rows, "id long, x array<double>, i array<int>, v array<double>, y int, fold int")
+
+
+def packed(spark, n, shape, parts):
+    from inkline.operators import network
+
+    return network.written(net_rows(spark, n).repartition(parts), shape, "x", "y", "id", F.col("fold"), "i", "v")
+
+
+@pytest.mark.parametrize("layers", [((4, 3), (5,), (6, 2)), ((), (), (4,)), ((), (3,), ())])
+def test_gradients_match_differences(spark, layers):
+    from inkline.operators import network
+
+    shape = network.Shape(3, 12, *layers)
+    w = network.start(shape, 1)
+    rng = np.random.default_rng(4)
+    dense, sparse, y = rng.normal(size=(9, 3)), rng.random((9, 12)) * (rng.random((9, 12)) < 0.4), rng.integers(0, 2, 9).astype(float)
+    weights = (0.7, 2.0)
+    loss = lambda: network.cross_entropy(network.forward(w, shape, dense, sparse)[0], y, weights).sum()
+    for x, g in zip(w, network.gradients(w, shape, dense, sparse, y, weights), strict=True):
+        for at in list(np.ndindex(x.shape))[:40]:
+            kept, step = x[at], 1e-6
+            x[at] = kept + step
+            up = loss()
+            x[at] = kept - step
+            down = loss()
+            x[at] = kept
+            assert g[at] == pytest.approx((up - down) / (2 * step), abs=1e-5)
+
+
+def test_gradient_sums_do_not_depend_on_the_tasks(spark, monkeypatch):
+    from inkline.operators import network
+
+    monkeypatch.setattr(network, "CHUNK", 7)
+    shape = network.Shape(3, 12, (4,), (5,), (3,))
+    w, t = network.start(shape, 1), network.Training()
+    one, n = network.gradient_of(packed(spark, 150, shape, 1), w, shape, t)
+    many, m = network.gradient_of(packed(spark, 150, shape, 6), w, shape, t)
+    assert n == m == 112
+    for a, b in zip(one, many):
+        assert a == pytest.approx(b)
+
+
+@pytest.mark.parametrize("local", [1 << 14, 0])
+def test_training_beats_the_class_prior(spark, monkeypatch, local):
+    from inkline.operators import network
+
+    monkeypatch.setattr(network, "LOCAL_ROWS", local)
+    shape = network.Shape(3, 12, (8,), (8,), (8,))
+    table = packed(spark, 300, shape, 3)
+    t = network.Training(rate=0.02, batch=32, epochs=30 if local else 12, patience=6, l2=1e-4)
+    model = network.fit(table, shape, t)
+    rows = net_rows(spark, 300)
+    held = rows.filter("fold = 1").select("y", model.probability("x", "i", "v").alias("p")).toPandas()
+    share = held["y"].mean()
+    prior = -(share * math.log(share) + (1 - share) * math.log(1 - share))
+    loss = -np.mean(np.where(held["y"] == 1, np.log(held["p"]), np.log(1 - held["p"])))
+    assert loss == pytest.approx(min(model.losses)) and loss < (0.6 if local else 0.95) * prior
+
+
+def test_networks_without_rows_and_class_weights(spark):
+    from inkline.operators import network
+
+    shape = network.Shape(3)
+    table = packed(spark, 8, shape, 1).limit(0)
+    assert len(network.fit(table, shape).weights) == 8
+    assert network.balanced(net_rows(spark, 0), "y") == (1.0, 1.0)
+    df = spark.createDataFrame([(1,), (1,), (1,), (0,)], "y int")
+    assert network.balanced(df, "y") == (2.0, pytest.approx(4 / 6))

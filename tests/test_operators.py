@@ -333,9 +333,9 @@ def test_queries_read_declared_tables():
 
 def test_registered_models_use_the_full_settings(spark, sf, monkeypatch):
     """What each query hands to its estimator, caught at fit."""
-    from pyspark.ml.classification import MultilayerPerceptronClassifier, OneVsRest, RandomForestClassifier
+    from pyspark.ml.classification import OneVsRest, RandomForestClassifier
 
-    from inkline.operators import booster, forest, term_boost, tuning
+    from inkline.operators import booster, forest, network, term_boost, tuning
     from inkline.plans import models_q as q
 
     class Seen(Exception):
@@ -349,7 +349,7 @@ def test_registered_models_use_the_full_settings(spark, sf, monkeypatch):
             getattr(q, name)(spark, sf)
         return e.value.args
 
-    for kind in (MultilayerPerceptronClassifier, OneVsRest, RandomForestClassifier):
+    for kind in (OneVsRest, RandomForestClassifier):
         monkeypatch.setattr(kind, "fit", caught)
     monkeypatch.setattr(term_boost, "fit", caught)
     (forest, _), _ = call("bagging")
@@ -358,11 +358,11 @@ def test_registered_models_use_the_full_settings(spark, sf, monkeypatch):
     assert named.get("rounds", 50) == 50
     (machine, lifted), _ = call("svm_rbf")
     assert machine.getClassifier().getMaxIter() == 50 and lifted.first()["features"].size == 256
-    (net, _), _ = call("mlp")
-    assert net.getMaxIter() == 100
-    (net, rows), _ = call("mlp_hybrid")
-    frame = q.hybrid_frame(spark, sf).first()
-    assert net.getMaxIter() == 100 and net.getLayers()[0] == rows.first()["features"].size == frame["hybrid"].size > 120
+    monkeypatch.setattr(network, "fit", caught)
+    (_, shape, t), _ = call("mlp")
+    assert shape.joined_layers == (64, 32, 16) and (t.epochs, t.patience, t.batch) == (500, 20, 64)
+    (_, shape, t), _ = call("mlp_hybrid")
+    assert shape.sparse > 100 and (shape.dense_layers, shape.sparse_layers, t.epochs) == ((64, 32), (512, 256, 128), 15)
     for owner, name in ((tuning, "tune"), (booster, "fit"), (forest, "fit")):
         monkeypatch.setattr(owner, name, caught)
     args, named = call("tune_gbt")
