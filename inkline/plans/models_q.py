@@ -206,7 +206,7 @@ def linear_regression(spark, sf):
     return tidy(metrics.regression_metrics(linear.predict_linear(test, cols, *fitted).select(F.col("l_extendedprice").alias("y"), "yhat")))
 
 
-@query("least_squares_fit", f"""WITH o AS (SELECT o_totalprice::DOUBLE AS y, o_custkey::DOUBLE AS a, epoch(o_orderdate) / 86400 AS b, o_orderkey,
+@query("least_squares_fit", f"""WITH o AS (SELECT o_totalprice::DOUBLE AS y, o_custkey::DOUBLE AS a, date_diff('day', DATE '1970-01-01', o_orderdate::DATE)::DOUBLE AS b, o_orderkey,
   row_number() OVER (ORDER BY md5(o_orderkey::VARCHAR), o_orderkey) AS rn, count(*) OVER () AS n FROM orders),
 tr AS (SELECT * FROM o WHERE rn > round_even(n * 0.2, 0)),
 s AS (SELECT var_pop(a) AS aa, var_pop(b) AS bb, covar_pop(a, b) AS ab, covar_pop(a, y) AS ay, covar_pop(b, y) AS by_, avg(a) AS ma, avg(b) AS mb, avg(y) AS my FROM tr),
@@ -217,7 +217,7 @@ SELECT {r('any_value(ca)', 4)} AS coef_customer, {r('any_value(cb)', 4)} AS coef
 def least_squares_fit(spark, sf):
     """Coefficients of two features and the squared error on held-out orders."""
     orders = load(spark, sf, "orders").select("o_orderkey", F.col("o_totalprice").cast("double").alias("y"), F.col("o_custkey").cast("double").alias("a"),
-                                              (F.unix_micros("o_orderdate") / 86_400_000_000).alias("b"))
+                                              F.unix_date(F.to_date("o_orderdate")).cast("double").alias("b"))
     train, test = halves(split.random_split(orders, "o_orderkey", 0.2))
     intercept, (ca, cb) = linear.least_squares(train, ["a", "b"], "y")
     mse = linear.predict_linear(test, ["a", "b"], intercept, [ca, cb]).agg(F.avg((F.col("y") - F.col("yhat")) ** 2)).first()[0]
