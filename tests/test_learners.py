@@ -457,3 +457,32 @@ def test_networks_without_rows_and_class_weights(spark):
     assert network.balanced(net_rows(spark, 0), "y") == (1.0, 1.0)
     df = spark.createDataFrame([(1,), (1,), (1,), (0,)], "y int")
     assert network.balanced(df, "y") == (2.0, pytest.approx(4 / 6))
+
+
+def test_cart_grows_140000_rows_in_few_jobs(spark):
+    """Rows without a pattern make deep trees; above 131,072 rows each level used to be several jobs."""
+    from inkline.operators import cart
+
+    df = spark.range(0, 140_000, 1, 4).select(
+        (F.xxhash64("id") / 1e9).alias("x"), (F.xxhash64("id", F.lit(1)) % 7).cast("double").alias("k"), F.when(F.xxhash64("id", F.lit(2)) % 2 == 0, "A").otherwise("N").alias("label"))
+    spark.sparkContext.setJobGroup("cart-deep", "test")
+    try:
+        nodes, _ = cart.grow(df, ["x", "k"], [], ["A", "N"])
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("cart-deep")) < 40
+    ends = nodes.filter("feature is null").agg(F.sum(F.expr("counts[0] + counts[1]")), F.max(F.expr("least(counts[0], counts[1])")), F.max("depth")).first()
+    assert ends[0] == 140_000 and ends[1] == 0 and ends[2] > 40
+
+
+def test_cart_grows_several_roots_side_by_side():
+    import numpy as np
+
+    from inkline.operators import cart
+
+    x = np.array([[1.0, 0.0], [2.0, 0.0], [5.0, 1.0], [6.0, 1.0], [7.0, 0.0], [np.nan, 0.0]])
+    grown = cart.grow_here(x, np.array([0, 1, 0, 1, 0, 1]), np.array([0, 0, 1, 1, 1, 1]), np.array([3, 4]), 1, 2, None, 2)
+    listed = dict(zip(cart.paths(grown, ["a", "b"]), zip(grown["feature"].tolist(), grown["cut"].tolist(), grown["counts"].tolist(), grown["depth"].tolist())))
+    assert listed["a"] == (0, 1.5, [1, 1], 3) and listed["a/L"] == (-1, 0.0, [1, 0], 4)
+    assert listed["b"] == (0, 5.5, [2, 2], 4) and listed["b/L"] == (-1, 0.0, [1, 0], 5)
+    assert listed["b/R"] == (0, 6.5, [1, 2], 5) and listed["b/R/R"][2] == [1, 1]  # the row without a number goes right
