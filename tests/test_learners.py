@@ -486,3 +486,71 @@ def test_cart_grows_several_roots_side_by_side():
     assert listed["a"] == (0, 1.5, [1, 1], 3) and listed["a/L"] == (-1, 0.0, [1, 0], 4)
     assert listed["b"] == (0, 5.5, [2, 2], 4) and listed["b/L"] == (-1, 0.0, [1, 0], 5)
     assert listed["b/R"] == (0, 6.5, [1, 2], 5) and listed["b/R/R"][2] == [1, 1]  # the row without a number goes right
+
+
+def test_bagged_tree_tries_every_cut(monkeypatch):
+    """A sparse tree against a plain one on the written-out table, entries looked at whole and in pieces of three."""
+    import numpy as np
+
+    from inkline.operators import bagging
+
+    rng = np.random.default_rng(5)
+    x = np.round(rng.random((60, 5)), 1) * (rng.random((60, 5)) < 0.5)
+    y, weight = rng.integers(0, 2, 60), rng.integers(0, 3, 60)
+    sizes, places = (x != 0).sum(1), np.nonzero(x)[1]
+    block = {"key": np.arange(60), "y": y.astype(np.int8), "sizes": sizes, "places": places.astype(np.int32), "values": x[x != 0]}
+    held = bagging.Entries([{k: v.tobytes() for k, v in block.items()}])
+
+    def purity(rows):
+        n, k = weight[rows].sum(), (weight * y)[rows].sum()
+        return (k * k + (n - k) * (n - k)) / n
+
+    def plain(rows, depth):
+        n, k = weight[rows].sum(), (weight * y)[rows].sum()
+        best = (purity(rows) * (1 + 1e-12), None)
+        for f in range(5) if depth and 0 < k < n else ():
+            values = np.unique(np.append(x[rows, f], 0.0)) if (x[rows, f] == 0).any() else np.unique(x[rows, f])
+            for a, b in zip(values[:-1], values[1:]):
+                right = x[rows, f] > (a + b) / 2
+                score = purity(rows[right]) + purity(rows[~right])
+                if score > best[0]:
+                    best = (score, (f, (a + b) / 2, right))
+        if best[1] is None:
+            return (round(k / n, 9), int(n))
+        f, cut_, right = best[1]
+        return (f, round(cut_, 9), plain(rows[~right], depth - 1), plain(rows[right], depth - 1))
+
+    def told(tree, at, rows):
+        f = int(tree["feature"][at])
+        if f < 0:
+            return (round(float(tree["share"][at]), 9), int(weight[rows].sum()))
+        right, left = x[rows, f] > tree["cut"][at], int(tree["left"][at])
+        return (f, round(float(tree["cut"][at]), 9), told(tree, left, rows[~right]), told(tree, left + 1, rows[right]))
+
+    drawn = np.flatnonzero(weight > 0)
+    for chunk, depth in ((1 << 18, 30), (3, 30), (7, 2)):
+        monkeypatch.setattr(bagging, "CHUNK", chunk)
+        tree = bagging.grow(held, weight, depth)
+        assert told(tree, 0, drawn) == plain(drawn, depth)
+        shares = bagging.Bagged([tree, tree], "features").shares(sizes, places, x[x != 0])
+        for row in range(60):
+            at = 0
+            while tree["feature"][at] >= 0:
+                at = tree["left"][at] + (x[row, tree["feature"][at]] > tree["cut"][at])
+            assert shares[row] == tree["share"][at]
+
+
+def test_bagging_grows_in_tasks_and_leaves_negative_values_to_mllib(spark):
+    from pyspark.ml.linalg import Vectors
+
+    from inkline.operators import bagging, models
+
+    rows = [(i, i % 2, Vectors.sparse(4, [i % 2, 2], [1.0, 0.1 + i])) for i in range(40)] + [(7, 1, Vectors.dense(0.0, 1.0, 0.0, 2.0))]
+    df = spark.createDataFrame(rows, ["doc_id", "label", "features"])
+    model = models.bagging(trees=5).fit(df)
+    assert isinstance(model, bagging.Bagged) and len(model.trees) == 5
+    assert models.scored(model, df, ["label"]).filter("pred <> label").count() == 0
+    again = models.bagging(trees=5).fit(df.repartition(7))
+    assert all((a["feature"] == b["feature"]).all() and (a["cut"] == b["cut"]).all() for a, b in zip(model.trees, again.trees))
+    other = spark.createDataFrame([(i, i % 2, Vectors.dense(i % 2 - 0.5)) for i in range(20)], ["doc_id", "label", "features"])
+    assert not isinstance(models.bagging(trees=2, depth=2).fit(other), bagging.Bagged)
