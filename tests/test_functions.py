@@ -142,3 +142,20 @@ def test_catalogue_sizes(spark):
 def test_no_exchange_in_feature_pass(spark, frame):
     df = st.select_features(st.prepare(spark.range(3).selectExpr("id doc_id", "'a b' text")), ["doc_id"], st.lexical())
     assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_arrow_counts_equal_the_patterns(spark):
+    """Character and gram entropies, distinct shares and syllables as the sorted arrays and patterns give them."""
+    texts = ["  ", " the queue eye rhythm strengths idea ", None, "", " e ee ie be see naïve café don't 12 _e the queue eye the queue ", " \U0001f600a e\U0001f600 ae x ", " a a a a a b "]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string").repartition(2)
+    t, zero = F.col("t"), F.lit(0.0)
+    grams = df.withColumn("g", F.sort_array(tx.word_ngrams(t, 2))).withColumn("e", counts.run_ends(F.col("g")))
+    pairs = [
+        (sq.char_entropy(t), counts.entropy_nats(counts.char_frequencies(t), F.length(t))),
+        (sq.char_trigram_share(t), tx.ratio(F.size(F.array_distinct(tx.char_trigrams(t))), F.size(tx.char_trigrams(t)))),
+        (sq.pair_entropy(t), counts.entropy_nats(counts.run_lengths(F.col("e")), F.size("g"))),
+        *[(sq.gram_kinds(t, n), F.coalesce(F.size(F.array_distinct(tx.word_ngrams(t, n))), F.lit(0))) for n in (2, 3)],
+        *[(new(t, v), old(t, v)) for v in ("aeiou", "aeiouy") for new, old in ((sq.syllables, tx.syllables), (sq.complex_words, tx.complex_words))]]
+    apart = [F.abs(F.coalesce(a.cast("double"), zero) - F.coalesce(b.cast("double"), zero)) for a, b in pairs]
+    for row in grams.select("t", *apart).collect():
+        assert max(row[1:]) < 1e-11, row
