@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import ROWS_PER_BLOCK, block_pairs
+from ..session import cut
 
 ROWS_AT_ONCE = 64
+SILHOUETTE_ROWS, LEFT_BLOCKS, RIGHT_BLOCKS = 2048, 8, 64  # rows of a block, and blocks that a task holds of the left and reads of the right
 
 
 def assign(df: DataFrame, vector: str, centres: list[list[float]]) -> DataFrame:
@@ -28,33 +32,69 @@ def lloyd_step(df: DataFrame, vector: str, centres: list[list[float]]) -> DataFr
     return a.groupBy("cluster", "dim").agg(F.avg("x").alias("centre"), F.count("*").alias("n"), F.sum("cost").alias("cost"))
 
 
-def silhouette_exact(df: DataFrame, id_col: str, vector: str, cluster: str, rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame:
+def distance_sums(p: np.ndarray, q: np.ndarray, member: np.ndarray) -> np.ndarray:
+    """For each row of ``p`` the summed Euclidean distances to the rows of ``q`` by cluster; ``member`` is ``[row of q, cluster]``."""
+    norms, sums = (q * q).sum(axis=1), np.empty((len(p), member.shape[1]))
+    for a in range(0, len(p), ROWS_AT_ONCE):
+        part = p[a : a + ROWS_AT_ONCE]
+        size = (part * part).sum(axis=1)[:, None] + norms
+        d = size - 2 * part @ q.T
+        # of near points the product keeps too few digits
+        i, j = np.nonzero(d <= 1e-6 * size)
+        d[i, j] = ((part[i] - q[j]) ** 2).sum(axis=1)
+        sums[a : a + len(part)] = np.sqrt(d) @ member
+    return sums
+
+
+def packed(df: DataFrame, id_col: str, vector: str, cluster: str, rows_per_block: int) -> DataFrame:
+    """Blocks of rows as single rows: number, ids, clusters, and the vectors as bytes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 32
+        for batch in batches:
+            for at in range(0, batch.num_rows, rows_per_block):
+                part = batch.slice(at, rows_per_block)
+                x = np.stack(part.column("_v").to_numpy(zero_copy_only=False)).astype("float64")
+                lists = [pa.ListArray.from_arrays([0, part.num_rows], pa.concat_arrays([part.column(c)])) for c in ("_i", "_own")]
+                yield pa.RecordBatch.from_arrays([pa.array([number]), *lists, pa.array([x.tobytes()], pa.binary())], ["block", "ids", "own", "x"])
+                number += 1
+
+    rows = df.select(F.col(id_col).cast("long").alias("_i"), F.col(cluster).cast("int").alias("_own"), F.col(vector).alias("_v"))
+    return rows.mapInArrow(run, "block long, ids array<long>, own array<int>, x binary")
+
+
+def silhouette_exact(df: DataFrame, id_col: str, vector: str, cluster: str, rows_per_block: int = SILHOUETTE_ROWS) -> DataFrame:
     """Mean Euclidean silhouette; single-member clusters count as 0.
 
-    Block pairs are folded to one distance sum per (row, other cluster).
+    A task meets some left blocks with a run of right blocks that it reads from the written table, so vectors are
+    not copied through an exchange; what it hands on is one sum per (row, other cluster).
     """
-
-    def fold(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
-        if len(x) == 0 or len(y) == 0:
-            return pd.DataFrame({"_i": [], "_own": [], "_c": [], "_s": [], "_n": []})
-        p, q = (np.stack(t[vector].to_numpy()).astype("float64") for t in (x, y))
-        kinds, code = np.unique(y[cluster].to_numpy(), return_inverse=True)
-        member = (code[:, None] == np.arange(len(kinds))).astype("float64")
-        norms, sums = (q * q).sum(axis=1), np.empty((len(p), len(kinds)))
-        for a in range(0, len(p), ROWS_AT_ONCE):
-            part = p[a : a + ROWS_AT_ONCE]
-            size = (part * part).sum(axis=1)[:, None] + norms
-            d = size - 2 * part @ q.T
-            # of near points the product keeps too few digits
-            i, j = np.nonzero(d <= 1e-6 * size)
-            d[i, j] = ((part[i] - q[j]) ** 2).sum(axis=1)
-            sums[a : a + len(part)] = np.sqrt(d) @ member
-        n = len(kinds)
-        return pd.DataFrame({"_i": x[id_col].repeat(n), "_own": x[cluster].repeat(n), "_c": np.tile(kinds, len(p)), "_s": sums.ravel(),
-                             "_n": np.tile(np.bincount(code), len(p))})
-
-    data = df.select(id_col, vector, cluster)
-    sums = block_pairs(data, data, id_col, id_col, fold, "_i long, _own int, _c int, _s double, _n long", rows_per_block)
+    table = cut(packed(df, id_col, vector, cluster, rows_per_block))
+    blocks, cores = table.count(), df.sparkSession.sparkContext.defaultParallelism
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[tuple, list] = {}
+        for batch in batches:
+            for pair in batch.to_pylist():
+                own = np.array(pair["own"])
+                kinds, code = np.unique(own, return_inverse=True)
+                q = np.frombuffer(pair["x"]).reshape(len(own), -1)
+                p = np.frombuffer(pair["left_x"]).reshape(-1, q.shape[1])
+                found = distance_sums(p, q, (code[:, None] == np.arange(len(kinds))).astype("float64"))
+                for k, (kind, n) in enumerate(zip(kinds.tolist(), np.bincount(code).tolist())):
+                    total = sums.setdefault((pair["left_block"], kind), [0.0, 0])
+                    total[0], total[1] = total[0] + found[:, k], total[1] + n
+        if sums:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([k[0] for k in sums]), pa.array([k[1] for k in sums], pa.int32()), pa.array([v[0].tolist() for v in sums.values()], pa.list_(pa.float64())),
+                 pa.array([v[1] for v in sums.values()])], ["block", "_c", "s", "n"])
+
+    left = table.select(F.col("block").alias("left_block"), F.col("x").alias("left_x")).repartition(max(1, min(blocks, max(cores, blocks // LEFT_BLOCKS))))
+    right = table.select("own", "x").coalesce(max(1, -(-blocks // RIGHT_BLOCKS)))
+    # the hint keeps the pairs in tasks of their own, without a broadcast
+    parts = left.hint("shuffle_replicate_nl").crossJoin(right).mapInArrow(run, "block long, _c int, s array<double>, n long")
+    rows = parts.join(table.select("block", "ids", "own"), "block").select("_c", "n", F.posexplode("s").alias("_at", "_s"), "ids", "own")
+    sums = rows.select(F.get("ids", "_at").alias("_i"), F.get("own", "_at").alias("_own"), "_c", "_s", F.col("n").alias("_n"))
     per = sums.groupBy("_i", "_own", "_c").agg(F.sum("_s").alias("s"), F.sum("_n").alias("n"))
     same = F.col("_own") == F.col("_c")
     ab = per.groupBy("_i").agg(

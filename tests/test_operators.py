@@ -372,3 +372,18 @@ def test_registered_models_use_the_full_settings(spark, sf, monkeypatch):
     assert not named
     _, named = call("score_batch")  # the stream fits the same scorer
     assert (named["trees"], named["depth"]) == (100, 10)
+
+
+def test_silhouette_sends_no_vectors_through_an_exchange(spark):
+    """Block pairs come from reading the written blocks; before, every block was copied once for each other block."""
+    import numpy as np
+
+    from inkline.operators import cluster
+
+    rng = np.random.default_rng(2)
+    rows = [(i, [float(x) for x in rng.normal(size=3)], i % 4) for i in range(90)]
+    df = spark.createDataFrame(rows, "id long, v array<double>, label int").repartition(4)
+    out = cluster.silhouette_exact(df, "id", "v", "label", rows_per_block=7)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "CoGroup" not in plan and "CartesianProduct" in plan
+    assert out.first()["silhouette"] == pytest.approx(cluster.silhouette_exact(df, "id", "v", "label").first()["silhouette"])
